@@ -36,20 +36,30 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 # --- the same derived value in both engines --------------------------------
 
-def pick(key: Column, *values: str | Column | None) -> Column:
-    """One of several values by key."""
-    options = [v if isinstance(v, Column) else F.lit(v).cast("string") for v in values]
-    return F.element_at(F.array(*options), (F.pmod(key, F.lit(len(options))) + 1).cast("int"))
+def pick(key: str, *values: str | None) -> Column:
+    """One of several values by key; ``=`` marks a Spark SQL expression."""
+    options = ", ".join(f"CAST({_spark_option(v)} AS STRING)" for v in values)
+    return F.expr(f"element_at(array({options}), CAST(pmod({key}, {len(values)}) + 1 AS INT))")
+
+
+def _spark_option(value: str | None) -> str:
+    if value is None:
+        return "NULL"
+    if value.startswith("="):
+        return value[1:]
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
 
 
 def sql_text(value: str | None) -> str:
     return "NULL" if value is None else "'" + value.replace("'", "''") + "'"
 
 
-def sql_pick(key: str, *values: str | None, raw: tuple[str, ...] = ()) -> str:
-    """As `pick`; values starting with ``=`` are SQL expressions."""
+def sql_pick(key: str, *values: str | None) -> str:
+    """As `pick`, for DuckDB."""
     options = [v[1:] if v is not None and v.startswith("=") else sql_text(v) for v in values]
-    return f"list_extract([{', '.join(f'CAST({o} AS VARCHAR)' for o in options)}], CAST(({key}) % {len(options)} + 1 AS INTEGER))"
+    casts = ", ".join(f"CAST({o} AS VARCHAR)" for o in options)
+    return f"list_extract([{casts}], CAST(({key}) % {len(options)} + 1 AS INTEGER))"
 
 
 # --- rules as DuckDB SQL ----------------------------------------------------

@@ -28,54 +28,51 @@ WORDS = ["Active", "Not Active", "Inactive", "Closed", None, "ACTIVE - probation
 
 
 def raw_tx(spark: SparkSession, sf: str) -> DataFrame:
-    k = F.col("c_custkey")
-    step = lambda n: F.floor(k / n)
+    k = "c_custkey"
     rows = table(spark, sf, "customer").join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-    fields = [
-        k.cast("string").alias("operation_id"),
+    rows = rows.select(
+        F.expr(f"CAST({k} AS STRING)").alias("operation_id"),
         pick(
-            k, F.lower("c_name"), F.concat(F.lit("  o'brien   kid-care "), k % 40), None,
-            F.concat(F.lit("twin stars "), k % 90), F.lit("hope foster care"), F.concat(F.lit("sun "), F.lower("n_name"), F.lit(" "), k),
-            "", F.concat(F.lit("moon adoption "), k), F.concat(F.lit("élan n°"), k % 25),
+            k, "=lower(c_name)", f"=concat('  o\\'brien   kid-care ', {k} % 40)", None, f"=concat('twin stars ', {k} % 90)",
+            "hope foster care", f"=concat('sun ', lower(n_name), ' ', {k})", "", f"=concat('moon adoption ', {k})",
+            f"=concat('élan n°', {k} % 25)",
         ).alias("operation_name"),
-        pick(step(3), *TYPES).alias("operation_type"),
-        pick(step(2), *FLAGS).alias("operation_status"),
-        pick(step(5), "NO", "NO", "YES", None, "no").alias("temporarily_closed"),
+        pick(f"{k} div 3", *TYPES).alias("operation_type"),
+        pick(f"{k} div 2", *FLAGS).alias("operation_status"),
+        pick(f"{k} div 5", "NO", "NO", "YES", None, "no").alias("temporarily_closed"),
         pick(k, "2020-01-31T00:00:00.000", "1/2/2020", "2020-01-02", "junk", "", None, "12/31/2019").alias("issuance_date"),
-        F.when(k % 13 == 5, "").otherwise(F.concat((k % 30).cast("string"), F.lit(" Main St, "), F.col("n_name")))
-        .alias("location_address"),
-        F.concat((k % 30).cast("string"), F.lit(" Main St")).alias("address_line"),
+        F.expr(f"CASE WHEN {k} % 13 = 5 THEN '' ELSE concat({k} % 30, ' Main St, ', n_name) END").alias("location_address"),
+        F.expr(f"concat({k} % 30, ' Main St')").alias("address_line"),
         F.col("n_name").alias("city"),
         pick(k, "TX", "tx ", "OK").alias("state"),
-        pick(step(4), F.concat(F.lit("787"), F.lpad((k % 100).cast("string"), 2, "0")), "78750-1234", None, "").alias("zipcode"),
+        pick(f"{k} div 4", f"=concat('787', lpad(CAST({k} % 100 AS STRING), 2, '0'))", "78750-1234", None, "").alias("zipcode"),
         F.struct(
             pick(k, "30.25", "", None, "31.5").alias("latitude"), pick(k, "-97.75", "0", None, "-98.5").alias("longitude")
         ).alias("location_address_geo"),
         pick(k, *PHONES).alias("phone_number"),
-        pick(step(2), *EMAILS).alias("email_address"),
-        pick(step(3), *SITES).alias("website_address"),
+        pick(f"{k} div 2", *EMAILS).alias("email_address"),
+        pick(f"{k} div 3", *SITES).alias("website_address"),
         pick(k, "Ann Lee", None, " ").alias("administrator_director_name"),
-        pick(step(2), *CAPACITIES).alias("total_capacity"),
+        pick(f"{k} div 2", *CAPACITIES).alias("total_capacity"),
         pick(k, "Infant, Toddler", None).alias("licensed_to_serve_ages"),
         pick(k, "07:00 - 18:00", None).alias("hours_of_operation"),
         pick(k, "Mon - Fri", "").alias("days_of_operation"),
-    ]
-    rows = rows.select(*fields, k.alias("_ord"))
+        F.col(k).alias("_ord"),
+    )
     return rows.withColumn("_raw", F.to_json(F.struct(*[c for c in rows.columns if c != "_ord"])))
 
 
 def raw_wa(spark: SparkSession, sf: str) -> DataFrame:
-    k = F.col("s_suppkey")
-    step = lambda n: F.floor(k / n)
+    k = "s_suppkey"
     rows = table(spark, sf, "supplier").join(table(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-    fields = [
-        k.cast("string").alias("wacompassid"),
-        pick(k, F.lower("s_name"), "", None, F.concat(F.lit("twin stars "), k % 9)).alias("doingbusinessas"),
-        pick(k, "unused", F.concat(F.lit("provider "), k % 6), None, "unused").alias("providername"),
+    rows = rows.select(
+        F.expr(f"CAST({k} AS STRING)").alias("wacompassid"),
+        pick(k, "=lower(s_name)", "", None, f"=concat('twin stars ', {k} % 9)").alias("doingbusinessas"),
+        pick(k, "unused", f"=concat('provider ', {k} % 6)", None, "unused").alias("providername"),
         pick(k, *TYPES).alias("facilitytypegeneric"),
         pick(k, *WORDS).alias("latestoperatingstatus"),
         pick(k, "1/2/2020", "10/12/2021", None).alias("initiallicensedate"),
-        pick(k, F.concat((k % 12).cast("string"), F.lit(" Pine Ave")), None).alias("physicalstreetaddress"),
+        pick(k, f"=concat({k} % 12, ' Pine Ave')", None).alias("physicalstreetaddress"),
         F.col("n_name").alias("physicalcity"),
         pick(k, "WA", None, "wa").alias("physicalstate"),
         pick(k, "98101", "98101-0042", None).alias("physicalzip"),
@@ -87,8 +84,8 @@ def raw_wa(spark: SparkSession, sf: str) -> DataFrame:
         pick(k, *CAPACITIES).alias("licensecapacity"),
         pick(k, "0", "", None, "2").alias("startingage"),
         pick(k, "5", "", None, None).alias("endingage"),
-    ]
-    rows = rows.select(*fields, k.alias("_ord"))
+        F.col(k).alias("_ord"),
+    )
     return rows.withColumn("_raw", F.to_json(F.struct(*[c for c in rows.columns if c != "_ord"])))
 
 
@@ -314,11 +311,11 @@ def q_normalize_name(spark, sf):
   {b.sql_status_words(sql_pick("o_orderkey", *WORDS, "=o_orderpriority"))} AS word_status FROM orders""",
 )
 def q_normalize_status(spark, sf):
-    k = F.col("o_orderkey")
+    k = "o_orderkey"
     return table(spark, sf, "orders").select(
         "o_orderkey",
         reg.status_from_flag(pick(k, *FLAGS)).alias("flag_status"),
-        reg.status_from_words(pick(k, *WORDS, F.col("o_orderpriority"))).alias("word_status"),
+        reg.status_from_words(pick(k, *WORDS, "=o_orderpriority")).alias("word_status"),
     )
 
 
@@ -328,7 +325,7 @@ def q_normalize_status(spark, sf):
 FROM orders""",
 )
 def q_normalize_type(spark, sf):
-    raw = pick(F.col("o_orderkey"), *TYPES, "Emergency SHELTER", "Placement", "X", None, "")
+    raw = pick("o_orderkey", *TYPES, "Emergency SHELTER", "Placement", "X", None, "")
     return table(spark, sf, "orders").select("o_orderkey", reg.normalize_type(raw).alias("type"))
 
 
@@ -341,12 +338,11 @@ def q_normalize_type(spark, sf):
 SELECT o_orderkey, {b.sql_date("raw")} AS license_date FROM r""",
 )
 def q_normalize_date(spark, sf):
-    at = F.col("o_orderdate")
     raw = pick(
-        F.col("o_orderkey"),
-        F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss.000"),
-        F.concat(F.month(at).cast("string"), F.lit("/"), F.dayofmonth(at).cast("string"), F.lit("/"), F.year(at).cast("string")),
-        F.date_format(at, "yyyy-MM-dd"), "", None, "1/2020",
+        "o_orderkey",
+        "=date_format(o_orderdate, \"yyyy-MM-dd'T'HH:mm:ss.000\")",
+        "=concat(month(o_orderdate), '/', day(o_orderdate), '/', year(o_orderdate))",
+        "=date_format(o_orderdate, 'yyyy-MM-dd')", "", None, "1/2020",
     )
     return table(spark, sf, "orders").select("o_orderkey", reg.normalize_date(raw).alias("license_date"))
 
@@ -364,7 +360,7 @@ def q_normalize_phone(spark, sf):
         F.explode(F.regexp_extract_all("text", F.lit("([+(]?[0-9][0-9() .-]{5,}[0-9])"), F.lit(1))).alias("raw"),
     )
     made = table(spark, sf, "orders").select(
-        F.concat(F.lit("o"), "o_orderkey").alias("key"), pick(F.col("o_orderkey"), *PHONES).alias("raw")
+        F.concat(F.lit("o"), "o_orderkey").alias("key"), pick("o_orderkey", *PHONES).alias("raw")
     )
     return found.unionByName(made).withColumn("phone", reg.normalize_phone(F.col("raw")))
 
@@ -382,7 +378,7 @@ def q_normalize_email(spark, sf):
         F.explode(F.regexp_extract_all("text", F.lit("([^ \n]*@[^ \n]*)"), F.lit(1))).alias("raw"),
     )
     made = table(spark, sf, "orders").select(
-        F.concat(F.lit("o"), "o_orderkey").alias("key"), pick(F.col("o_orderkey"), *EMAILS).alias("raw")
+        F.concat(F.lit("o"), "o_orderkey").alias("key"), pick("o_orderkey", *EMAILS).alias("raw")
     )
     return found.unionByName(made).withColumn("email", reg.normalize_email(F.col("raw")))
 
@@ -394,7 +390,7 @@ FROM part) SELECT p_partkey, CAST({b.sql_capacity("raw")} AS VARCHAR) AS capacit
 )
 def q_parse_capacity(spark, sf):
     raw = pick(
-        F.col("p_partkey"), *CAPACITIES, F.col("p_size").cast("string"), F.col("p_retailprice").cast("string"), "99999999999"
+        "p_partkey", *CAPACITIES, "=CAST(p_size AS STRING)", "=CAST(p_retailprice AS STRING)", "99999999999"
     )
     return table(spark, sf, "part").select("p_partkey", reg.parse_capacity(raw).cast("string").alias("capacity"))
 

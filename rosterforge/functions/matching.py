@@ -7,12 +7,13 @@ import difflib
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rosterforge import fixed
 from rosterforge.functions.text import is_blank, strip
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def sequence_ratio(left: pd.Series, right: pd.Series) -> pd.Series:
     """Ratcliff-Obershelp ratio; Spark has no built-in with the same number.
 

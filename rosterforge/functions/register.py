@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from rosterforge import fixed
-from rosterforge.functions.text import blank_to_null, contains_any, strip
+from rosterforge.functions.text import any_word, strip
 
 ACTIVE = "Active"
 INACTIVE = "Inactive"
@@ -32,42 +32,33 @@ def status_from_words(words: Column) -> Column:
 
 def normalize_type(raw: Column) -> Column:
     folded = F.lower(raw)
-    chosen = None
+    chosen = F
     for label, words in fixed.TYPE_WORDS:
-        hit = contains_any(folded, words)
-        chosen = F.when(hit, label) if chosen is None else chosen.when(hit, label)
+        chosen = chosen.when(folded.rlike(any_word(words)), label)
     return chosen.otherwise(fixed.OTHER_TYPE)
 
 
-def _pad_two(part: Column) -> Column:
-    """Zero-fill to two characters without ever shortening."""
-    return F.when(F.char_length(part) < 2, F.lpad(part, 2, "0")).otherwise(part)
-
-
 def normalize_date(raw: Column) -> Column:
-    filled = blank_to_null(raw)
-    parts = F.split(filled, "/")
+    """ISO date of a timestamp or of M/D/YYYY; other texts stay as they are."""
+    padded = F.regexp_replace(F.regexp_replace(raw, r"^([^/])/", "0$1/"), r"/([^/])/", "/0$1/")
+    padded = F.regexp_replace(F.regexp_replace(padded, r"^/", "00/"), r"//", "/00/")
     return (
-        F.when(filled.contains("T"), F.substring_index(filled, "T", 1))
-        .when(
-            F.size(parts) == 3,
-            F.concat_ws("-", parts[2], _pad_two(parts[0]), _pad_two(parts[1])),
-        )
-        .otherwise(filled)
+        F.when(raw.contains("T"), F.substring_index(raw, "T", 1))
+        .when(raw.rlike(r"^[^/]*/[^/]*/[^/]*\z"), F.regexp_replace(padded, r"^([^/]*)/([^/]*)/([^/]*)\z", "$3-$1-$2"))
+        .when(raw != "", raw)
     )
 
 
 def normalize_phone(raw: Column) -> Column:
     digits = F.regexp_replace(raw, r"[^\p{Nd}]", "")
-    ten = F.when(
-        (F.char_length(digits) == 11) & digits.startswith("1"), F.substring(digits, 2, 10)
-    ).otherwise(digits)
-    return F.when(F.char_length(ten) == 10, ten)
+    # ten digits, after one leading country digit 1 if there is one
+    return F.nullif(F.regexp_extract(digits, r"^1?(\p{Nd}{10})\z", 1), F.lit(""))
 
 
 def normalize_email(raw: Column) -> Column:
-    folded = F.lower(strip(raw))
-    return F.when(folded.contains("@") & folded.contains("."), folded)
+    # both an @ and a dot, in any order
+    whole = r"(?s)^.*(?:@.*\.|\..*@).*\z"
+    return F.nullif(F.regexp_extract(F.lower(strip(raw)), whole, 0), F.lit(""))
 
 
 def parse_capacity(raw: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -52,16 +54,17 @@ def title_words(value: Column) -> Column:
 
 
 def normalize_name(value: Column) -> Column:
-    filled = blank_to_null(value)
-    return F.when(filled.isNull(), F.lit(fixed.UNKNOWN_NAME)).otherwise(title_words(squeeze(filled)))
+    return F.when(is_blank(value), fixed.UNKNOWN_NAME).otherwise(title_words(squeeze(value)))
+
+
+def any_word(words: list[str]) -> str:
+    """Pattern that finds any of the plain words."""
+    return "|".join(re.escape(word) for word in words)
 
 
 def contains_any(value: Column, words: list[str]) -> Column:
     """True where one of the plain words occurs; null text never matches."""
-    hit = F.lit(False)
-    for word in words:
-        hit = hit | value.contains(word)
-    return F.coalesce(hit, F.lit(False))
+    return F.coalesce(value.rlike(any_word(words)), F.lit(False))
 
 
 def word_count(value: Column) -> Column:

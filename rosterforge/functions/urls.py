@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from rosterforge import fixed
-from rosterforge.functions.text import contains_any
+from rosterforge.functions.text import any_word, contains_any
 
 
 def clean_url(url: Column) -> Column:
@@ -22,9 +22,7 @@ def site_domain(url: Column) -> Column:
 
 def asset_kind(url: Column) -> Column:
     folded = F.lower(url)
-    image = F.lit(False)
-    for suffix in fixed.IMAGE_SUFFIXES:
-        image = image | folded.endswith(suffix)
+    image = folded.rlike(f"(?:{any_word(fixed.IMAGE_SUFFIXES)})\\z")
     return F.when(folded.endswith(".pdf"), "pdf").when(image, "image")
 
 

@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rosterforge import fixed
 from rosterforge.operators.ordering import first_n_per, keep_first
@@ -29,7 +30,7 @@ def margin_scorer(matrix: np.ndarray, positive: int):
     against one small matrix is where array lambdas in the JVM are slow.
     """
 
-    @F.pandas_udf("double")
+    @F.pandas_udf(T.DoubleType())
     def score(vectors: pd.Series) -> pd.Series:
         if len(vectors) == 0:
             return pd.Series([], dtype="float64")

@@ -27,6 +27,8 @@ def local_session(cores: int | str = 8, memory: str = "12g", app: str = "rosterf
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(cores))
+        # call sites of column expressions cost several round trips each
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in RUNTIME_SETTINGS.items():
         builder = builder.config(key, value)
