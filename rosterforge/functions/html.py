@@ -84,10 +84,10 @@ def page_text(html: Column) -> Column:
 
 def attribute(tag: Column, name: str) -> Column:
     """Value of a tag attribute, null where absent or empty."""
-    quoted = F.regexp_extract(tag, rf"(?is)[\s\"']{name}\s*=\s*(?:\"([^\"]*)\"|'([^']*)')", 1)
+    double = F.regexp_extract(tag, rf"(?is)[\s\"']{name}\s*=\s*\"([^\"]*)\"", 1)
     single = F.regexp_extract(tag, rf"(?is)[\s\"']{name}\s*=\s*'([^']*)'", 1)
-    value = F.when(quoted != "", quoted).when(single != "", single)
-    return decode(strip(value))
+    # a pattern that does not match gives an empty text
+    return F.nullif(decode(strip(F.concat(double, single))), F.lit(""))
 
 
 def anchors(html: Column) -> Column:
@@ -102,10 +102,9 @@ def image_tags(html: Column) -> Column:
 
 def image_source(tag: Column) -> Column:
     """src, else the lazy-load attributes, else the first of the srcset."""
-    first_of_set = F.split(F.split(attribute(tag, "srcset"), ",")[0], " ")[0]
     return F.coalesce(
         attribute(tag, "src"),
         attribute(tag, "data-src"),
         attribute(tag, "data-original"),
-        F.when(first_of_set != "", first_of_set),
+        F.nullif(F.regexp_extract(attribute(tag, "srcset"), r"^([^\s,]+)", 1), F.lit("")),
     )

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rosterforge import fixed
+from rosterforge.session import durable
 
 
 def crawl(
@@ -25,11 +26,13 @@ def crawl(
     the cap are never visited, so every layer is cut before it is followed:
     a site brings at most ``max_pages`` rows into any join.
     """
-    visited = starts.select(
+    first = starts.select(
         "domain", F.col("start_url").alias("url"), F.lit(0).alias("depth"), F.lit(1).alias("pos")
     )
-    visited = _with_loaded(visited, loaded)
-    layer = visited
+    # layers are small and each is read several times later: written once,
+    # so that no layer works out the earlier ones again
+    layer = durable(_with_loaded(first, loaded), "layer")
+    visited = layer
     for depth in range(1, max_depth + 1):
         parents = layer.where("loaded").select("domain", F.col("url").alias("src"), F.col("pos").alias("parent"))
         allowed = links if depth == 1 else links.where("priority")
@@ -42,7 +45,7 @@ def crawl(
         counts = visited.groupBy("domain").agg(F.max("pos").alias("_used"))
         # the rank limit is applied per task before rows of a site meet
         nth = F.row_number().over(Window.partitionBy("domain").orderBy("at"))
-        layer = (
+        found = (
             sightings.withColumn("_nth", nth)
             .where(F.col("_nth") < max_pages)
             .join(counts, "domain")
@@ -51,7 +54,7 @@ def crawl(
             )
             .where(F.col("pos") <= max_pages)
         )
-        layer = _with_loaded(layer, loaded)
+        layer = durable(_with_loaded(found, loaded), "layer")
         visited = visited.unionByName(layer)
     return visited
 

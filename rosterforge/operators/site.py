@@ -51,11 +51,13 @@ def page_texts(pages: DataFrame) -> DataFrame:
 
 def page_assets(pages: DataFrame) -> DataFrame:
     """Image and PDF references of every page, in page order; http only."""
-    images = pages.select(
-        "url", F.posexplode(h.image_tags(F.col("html"))).alias("ord", "tag")
-    ).select(
-        "url", "ord", F.lit("image").alias("type"),
-        u.resolve_link(F.col("url"), h.image_source(F.col("tag"))).alias("original_url"),
+    images = (
+        pages.select("url", F.posexplode(h.image_tags(F.col("html"))).alias("ord", "tag"))
+        .select("url", "ord", h.image_source(F.col("tag")).alias("src"))
+        .select(
+            "url", "ord", F.lit("image").alias("type"),
+            u.resolve_link(F.col("url"), F.col("src")).alias("original_url"),
+        )
     )
     documents = (
         extract_links(pages)
