@@ -8,7 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterforge.functions.text import SPACE
+from rosterforge.functions.text import SPACES
+from rosterforge.sources.spread import spread
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -30,8 +31,10 @@ def query(name: str, sql: str | None = None) -> Callable[[Run], Run]:
     return add
 
 
-def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+def table(spark: SparkSession, sf: str, name: str, *columns: str) -> DataFrame:
+    """Table of the benchmark; with columns, over all cores for heavy work."""
+    df = spark.read.parquet(f"{sf}/{name}.parquet")
+    return spread(df.select(*columns)) if columns else df
 
 
 # --- the same derived value in both engines --------------------------------
@@ -64,7 +67,7 @@ def sql_pick(key: str, *values: str | None) -> str:
 
 # --- rules as DuckDB SQL ----------------------------------------------------
 
-SQL_SPACE = f"[{SPACE}]"
+SQL_SPACE = "[" + "".join(rf"\x{{{ord(c):x}}}" for c in SPACES) + "]"
 
 
 def sql_strip(x: str) -> str:

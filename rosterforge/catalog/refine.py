@@ -23,7 +23,7 @@ def files(spark: SparkSession, sf: str) -> DataFrame:
     extra = [e.replace("\n", "\\n") for e in EXTRA]
     options = ", ".join("'" + e + "'" for e in extra)
     front = F.expr(f"element_at(array({options}), CAST(doc_id % {len(EXTRA)} + 1 AS INT))")
-    return table(spark, sf, "documents").select(
+    return table(spark, sf, "documents", "source", "doc_id", "text").select(
         F.col("source").alias("domain"), F.concat(F.lit("doc_"), "doc_id", F.lit(".txt")).alias("file"),
         F.col("doc_id").alias("ord"), F.concat(front, F.col("text")).alias("text"),
     )

@@ -301,7 +301,7 @@ UNION ALL SELECT 'd' || doc_id, {b.sql_name("text")} FROM documents""",
 )
 def q_normalize_name(spark, sf):
     parts = table(spark, sf, "part").select(F.concat(F.lit("p"), "p_partkey").alias("key"), F.col("p_name").alias("raw"))
-    texts = table(spark, sf, "documents").select(F.concat(F.lit("d"), "doc_id").alias("key"), F.col("text").alias("raw"))
+    texts = table(spark, sf, "documents", "doc_id", "text").select(F.concat(F.lit("d"), "doc_id").alias("key"), F.col("text").alias("raw"))
     return parts.unionByName(texts).select("key", tx.normalize_name(F.col("raw")).alias("name"))
 
 
@@ -355,7 +355,7 @@ UNION ALL SELECT 'o' || o_orderkey, {sql_pick("o_orderkey", *PHONES)},
   {b.sql_phone(sql_pick("o_orderkey", *PHONES))} FROM orders""",
 )
 def q_normalize_phone(spark, sf):
-    found = table(spark, sf, "documents").select(
+    found = table(spark, sf, "documents", "doc_id", "text").select(
         F.concat(F.lit("d"), "doc_id").alias("key"),
         F.explode(F.regexp_extract_all("text", F.lit("([+(]?[0-9][0-9() .-]{5,}[0-9])"), F.lit(1))).alias("raw"),
     )
@@ -373,7 +373,7 @@ UNION ALL SELECT 'o' || o_orderkey, {sql_pick("o_orderkey", *EMAILS)},
   {b.sql_email(sql_pick("o_orderkey", *EMAILS))} FROM orders""",
 )
 def q_normalize_email(spark, sf):
-    found = table(spark, sf, "documents").select(
+    found = table(spark, sf, "documents", "doc_id", "text").select(
         F.concat(F.lit("d"), "doc_id").alias("key"),
         F.explode(F.regexp_extract_all("text", F.lit("([^ \n]*@[^ \n]*)"), F.lit(1))).alias("raw"),
     )

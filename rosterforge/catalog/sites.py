@@ -82,7 +82,7 @@ links AS (SELECT page_id, url, ord, href, CASE WHEN regexp_matches(href, '^[A-Za
 
 @query("q_link_extract", f"WITH {SQL_LINKS} SELECT url, ord, href, link FROM links")
 def q_link_extract(spark, sf):
-    return site.extract_links(table(spark, sf, "pages"))
+    return site.extract_links(table(spark, sf, "pages", "url", "html"))
 
 
 _NORMAL = "regexp_replace(split_part(link, '#', 1), '/+$', '')"
@@ -95,15 +95,14 @@ SELECT {b.sql_domain("url")} AS domain, url AS src, dst, ord, {b.sql_any("lower(
 FROM n WHERE dst LIKE 'http%' AND {b.sql_domain("url")} = {b.sql_domain("dst")} AND NOT {b.sql_any("lower(dst)", fixed.BLOCKED_LINK_WORDS)}""",
 )
 def q_link_filter(spark, sf):
-    return site.follow_links(site.extract_links(table(spark, sf, "pages")))
+    return site.follow_links(site.extract_links(table(spark, sf, "pages", "url", "html")))
 
 
 def sql_inner_text(x: str) -> str:
     collapsed = f"regexp_replace({x}, '{b.SQL_SPACE}+', ' ', 'g')"
     broken = f"regexp_replace({collapsed}, '{_q(h.BREAKING)}', chr(10), 'g')"
     bare = sql_decode(f"regexp_replace({broken}, '{h.TAG}', '', 'g')")
-    lines = rf"regexp_replace({bare}, '[ \x{{a0}}]*\n[ \x{{a0}}\n]*', chr(10), 'g')"
-    return b.sql_strip(lines)
+    return rf"trim(regexp_replace({bare}, ' *\n[ \n]*', chr(10), 'g'), ' ' || chr(10))"
 
 
 def _sql_page_text() -> str:
@@ -122,7 +121,7 @@ SELECT url, text, 'content_' || md5(url) || '.txt' AS file FROM c WHERE length(t
 
 @query("q_page_text", _sql_page_text())
 def q_page_text(spark, sf):
-    return site.page_texts(table(spark, sf, "pages"))
+    return site.page_texts(table(spark, sf, "pages", "url", "html"))
 
 
 def pages_with_media(spark: SparkSession, sf: str) -> DataFrame:
@@ -158,7 +157,7 @@ def q_page_assets(spark, sf):
     SELECT {b.sql_domain("url")} AS domain, link AS original_url, url, ord, page_id FROM links)) WHERE nth = 1""",
 )
 def q_asset_dedupe(spark, sf):
-    links = site.extract_links(table(spark, sf, "pages")).select(
+    links = site.extract_links(table(spark, sf, "pages", "url", "html")).select(
         u.site_domain(F.col("url")).alias("domain"), F.col("link").alias("original_url"), "url", "ord"
     )
     return site.dedupe_assets(links, [F.col("url"), F.col("ord")])

@@ -10,17 +10,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from rosterforge import fixed
-from rosterforge.functions.text import SPACE, strip
+from rosterforge.functions.text import plain_spaces, strip
 
-# Patterns avoid look-around, so RE2 reads them too.
+# Patterns avoid look-around, so RE2 reads them too, and start with a literal
+# "<", so that other characters are passed at once.
 HIDDEN = (
-    r"(?is)<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>"
-    r"|<noscript\b[^>]*>.*?</noscript\s*>|<template\b[^>]*>.*?</template\s*>|<!--.*?-->"
+    r"(?is)<(?:script\b[^>]*>.*?</script\s*>|style\b[^>]*>.*?</style\s*>"
+    r"|noscript\b[^>]*>.*?</noscript\s*>|template\b[^>]*>.*?</template\s*>|!--.*?-->)"
 )
 HEAD = r"(?is)<head\b[^>]*>.*?</head\s*>"
 BREAKING = (
-    r"(?i)<br\b[^>]*>|</?(?:p|div|li|ul|ol|h[1-6]|tr|table|section|article|main|header|footer|nav|"
-    r"aside|form|blockquote|pre|dl|dt|dd|figure|figcaption|address|hr)\b[^>]*>"
+    r"(?i)<(?:br\b|/?(?:p|div|li|ul|ol|h[1-6]|tr|table|section|article|main|header|footer|nav|"
+    r"aside|form|blockquote|pre|dl|dt|dd|figure|figcaption|address|hr)\b)[^>]*>"
 )
 TAG = r"<[^>]*>"
 
@@ -47,11 +48,10 @@ def decode(text: Column) -> Column:
 
 def inner_text(fragment: Column) -> Column:
     """Rendered text: blocks on their own lines, inline space collapsed."""
-    collapsed = F.regexp_replace(fragment, rf"[{SPACE}]+", " ")
+    collapsed = F.regexp_replace(plain_spaces(fragment), "  +", " ")
     broken = F.regexp_replace(collapsed, BREAKING, "\n")
     bare = decode(F.regexp_replace(broken, TAG, ""))
-    lines = F.regexp_replace(bare, r"[ \x{a0}]*\n[ \x{a0}\n]*", "\n")
-    return strip(lines)
+    return F.btrim(F.regexp_replace(bare, " *\n[ \n]*", "\n"), F.lit(" \n"))
 
 
 def element(html: Column, name: str) -> Column:
@@ -68,26 +68,30 @@ def named_element(html: Column, attribute: str, value: str) -> Column:
     return F.regexp_extract(html, opening + r"(.*)</(?:div|section)\s*>", 1)
 
 
-def page_text(html: Column) -> Column:
-    """Text of the first rich main-content element, else of the body."""
-    shown = F.regexp_replace(visible(html), HEAD, "")
+def body(html: Column) -> Column:
+    """Page without hidden parts and head."""
+    return F.regexp_replace(visible(html), HEAD, "")
+
+
+def content_texts(shown: Column) -> Column:
+    """Texts of the main-content candidates in their order, empty where absent."""
     texts = [inner_text(element(shown, name)) for name in CONTENT_ELEMENTS]
     for value in CONTENT_NAMES:
         texts.append(inner_text(named_element(shown, "id", value)))
         texts.append(inner_text(named_element(shown, "class", value)))
-    chosen = None
-    for text in texts:
-        rich = F.char_length(text) > fixed.MAIN_TEXT_MIN_CHARS
-        chosen = F.when(rich, text) if chosen is None else chosen.when(rich, text)
-    return chosen.otherwise(inner_text(shown))
+    return F.array(*texts)
+
+
+def chosen_text(texts: Column, shown: Column) -> Column:
+    """First rich candidate, else the text of the whole body."""
+    rich = F.get(F.filter(texts, lambda t: F.char_length(t) > fixed.MAIN_TEXT_MIN_CHARS), F.lit(0))
+    return F.when(rich.isNotNull(), rich).otherwise(inner_text(shown))
 
 
 def attribute(tag: Column, name: str) -> Column:
-    """Value of a tag attribute, null where absent or empty."""
-    double = F.regexp_extract(tag, rf"(?is)[\s\"']{name}\s*=\s*\"([^\"]*)\"", 1)
-    single = F.regexp_extract(tag, rf"(?is)[\s\"']{name}\s*=\s*'([^']*)'", 1)
-    # a pattern that does not match gives an empty text
-    return F.nullif(decode(strip(F.concat(double, single))), F.lit(""))
+    """Raw value of a tag attribute, null where absent or empty."""
+    found = F.regexp_extract(tag, rf"(?is)[\s\"']{name}\s*=\s*([\"'])(.*?)\1", 2)
+    return F.nullif(found, F.lit(""))
 
 
 def anchors(html: Column) -> Column:
@@ -102,9 +106,11 @@ def image_tags(html: Column) -> Column:
 
 def image_source(tag: Column) -> Column:
     """src, else the lazy-load attributes, else the first of the srcset."""
-    return F.coalesce(
+    found = F.coalesce(
         attribute(tag, "src"),
         attribute(tag, "data-src"),
         attribute(tag, "data-original"),
-        F.nullif(F.regexp_extract(attribute(tag, "srcset"), r"^([^\s,]+)", 1), F.lit("")),
+        # an empty match is no http link and falls out later
+        F.regexp_extract(attribute(tag, "srcset"), r"^\s*([^\s,]+)", 1),
     )
+    return decode(strip(found))

@@ -9,14 +9,11 @@ from pyspark.sql import functions as F
 
 from rosterforge import fixed
 
-# White space as `str.strip` and `str.split` see it.  The \x{..} spelling is
-# understood by Java regular expressions and by RE2 alike.
-SPACE = (
-    r"\x{09}-\x{0d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
-    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+# White space as `str.strip` and `str.split` see it.
+SPACES = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
-EDGE_SPACE = rf"^[{SPACE}]+|[{SPACE}]+\z"
-SPACE_RUN = rf"[{SPACE}]+"
 
 
 def blank_to_null(value: Column) -> Column:
@@ -34,23 +31,32 @@ def is_blank(value: Column) -> Column:
 
 
 def strip(value: Column) -> Column:
-    return F.regexp_replace(value, EDGE_SPACE, "")
+    return F.btrim(value, F.lit(SPACES))
+
+
+def plain_spaces(value: Column) -> Column:
+    """Every white-space character as a plain space."""
+    return F.translate(value, SPACES, " " * len(SPACES))
 
 
 def squeeze(value: Column) -> Column:
     """Edges stripped, inner white space runs turned into one space."""
-    return F.regexp_replace(strip(value), SPACE_RUN, " ")
+    return F.trim(F.regexp_replace(plain_spaces(value), "  +", " "))
+
+
+# a code point that no text holds
+_MARK = "\uffff "
 
 
 def title_words(value: Column) -> Column:
     """Capital after every character without case: O'Brien Kid-Care 1St.
 
-    ``initcap`` alone only looks at spaces, so the text is cut into runs with
-    and without case and every run is capitalised by itself.
+    ``initcap`` only looks at spaces, so a marked space goes in wherever a
+    cased character follows another one without case, and comes out again.
     """
     cased = r"\p{IsUppercase}\p{IsLowercase}\p{IsTitlecase}"
-    runs = F.regexp_extract_all(value, F.lit(f"([{cased}]+|[^{cased}]+)"), F.lit(1))
-    return F.array_join(F.transform(runs, lambda run: F.initcap(F.lower(run))), "")
+    marked = F.regexp_replace(value, f"([^{cased} ])(?=[{cased}])", f"$1{_MARK}")
+    return F.replace(F.initcap(marked), F.lit(_MARK), F.lit(""))
 
 
 def normalize_name(value: Column) -> Column:
@@ -67,9 +73,9 @@ def contains_any(value: Column, words: list[str]) -> Column:
     return F.coalesce(value.rlike(any_word(words)), F.lit(False))
 
 
-def word_count(value: Column) -> Column:
-    stripped = strip(value)
-    return F.when(stripped == "", F.lit(0)).otherwise(F.size(F.split(stripped, SPACE_RUN)))
+def has_words(value: Column, n: int) -> Column:
+    """At least ``n`` words; the pattern stops at the n-th."""
+    return plain_spaces(value).rlike(rf"^ *[^ ]+(?: +[^ ]+){{{n - 1}}}")
 
 
 def is_upper(value: Column) -> Column:

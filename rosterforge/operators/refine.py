@@ -9,8 +9,12 @@ from rosterforge import fixed
 from rosterforge.functions import text as tx
 from rosterforge.functions.urls import pdf_score
 from rosterforge.operators.ordering import first_n_per
+from rosterforge.session import durable
 
-_NOISE = "(?i)" + "|".join(fixed.NOISE_PATTERNS)
+# Every pattern starts with a plain letter: looking at it first passes most
+# positions without trying all patterns.
+_INITIALS = "".join(sorted({pattern[0] for pattern in fixed.NOISE_PATTERNS}))
+_NOISE = f"(?i)(?=[{_INITIALS}])(?:{'|'.join(fixed.NOISE_PATTERNS)})"
 
 
 def clean_lines(text: Column) -> Column:
@@ -24,8 +28,9 @@ def is_noise(line: Column) -> Column:
 
 
 def is_short(line: Column) -> Column:
+    """Fewer than four words and not a heading; few lines reach the second test."""
     heading = line.endswith(":") | (tx.is_upper(line) & (F.char_length(line) > 5))
-    return (tx.word_count(line) < 4) & ~heading
+    return ~tx.has_words(line, 4) & ~heading
 
 
 def line_key(line: Column) -> Column:
@@ -119,9 +124,10 @@ def site_bodies(
     """One body per site: `domain, body, full_chars`.
 
     Text files come first in their order, then extracted documents
-    (`domain, file, ord, pages`).  Only blocks that begin within the cap can
-    show, and every block has a least length, so a site's surplus blocks are
-    dropped before the site's rows meet; `full_chars` still counts them all.
+    (`domain, file, ord, pages`).  The blocks are written once; which of them
+    begin within the cap is worked out on their lengths alone, and only for
+    sites that exceed it, so that no task ever holds more than the cap and one
+    block of a site.
     """
     lined = refined_lines(files).where(F.size("lines") > 0)
     blocks = lined.select(
@@ -133,28 +139,39 @@ def site_bodies(
             "domain", F.lit(1).alias("part"), "ord", _document_block(F.col("file"), filled).alias("block")
         )
         blocks = blocks.unionByName(extra)
-    blocks = blocks.withColumn("chars", F.char_length("block").cast("long"))
-    totals = blocks.groupBy("domain").agg(
-        (F.sum("chars") + F.count("*") - 1).alias("full_chars")
+    blocks = durable(blocks.withColumn("chars", F.char_length("block").cast("long")), "blocks")
+
+    lengths = blocks.select("domain", "part", "ord", "chars")
+    long_sites = (
+        lengths.groupBy("domain")
+        .agg((F.sum("chars") + F.count("*") - 1).alias("full_chars"))
+        .where(F.col("full_chars") > cap)
     )
-    limit = cap // _SHORTEST_BLOCK + 1
+    # every block has a least length, so only so many can begin within the cap
     near = first_n_per(
-        blocks.withColumn("block", F.substring("block", 1, cap + 1)),
-        "domain", [F.col("part"), F.col("ord")], limit, spread=["part", "ord"],
+        lengths.join(long_sites, "domain"), "domain", [F.col("part"), F.col("ord")],
+        cap // _SHORTEST_BLOCK + 1, spread=["part", "ord"],
     )
     before = Window.partitionBy("domain").orderBy("part", "ord").rowsBetween(Window.unboundedPreceding, -1)
-    shown = near.withColumn(
-        "_start", F.coalesce(F.sum(F.col("chars") + 1).over(before), F.lit(0))
-    ).where(F.col("_start") <= cap)
-    joined = F.array_join(
-        F.transform(F.array_sort(F.collect_list(F.struct("part", "ord", "block"))), lambda b: b["block"]), "\n"
+    cuts = (
+        near.withColumn("_start", F.coalesce(F.sum(F.col("chars") + 1).over(before), F.lit(0)))
+        .where(F.col("_start") <= cap)
+        .groupBy("domain")
+        .agg(F.max(F.struct("part", "ord")).alias("last"), F.max("full_chars").alias("full_chars"))
+    )
+    shown = blocks.join(cuts, "domain", "left").where(
+        F.col("last").isNull() | (F.struct("part", "ord") <= F.col("last"))
+    )
+    piece = F.struct("part", "ord", F.substring("block", 1, cap + 1).alias("block"))
+    bodies = shown.groupBy("domain").agg(
+        F.array_sort(F.collect_list(piece)).alias("pieces"),
+        F.coalesce(F.max("full_chars"), F.sum("chars") + F.count("*") - 1).alias("full_chars"),
     )
-    bodies = shown.groupBy("domain").agg(joined.alias("text"))
+    text = F.array_join(F.transform("pieces", lambda p: p["block"]), "\n")
     body = F.when(
-        F.col("full_chars") > cap,
-        F.concat(F.substring("text", 1, cap), F.lit(fixed.SITE_TEXT_CAP_MARK)),
-    ).otherwise(F.col("text"))
-    return bodies.join(totals, "domain").select("domain", body.alias("body"), "full_chars")
+        F.col("full_chars") > cap, F.concat(F.substring(text, 1, cap), F.lit(fixed.SITE_TEXT_CAP_MARK))
+    ).otherwise(text)
+    return bodies.select("domain", body.alias("body"), "full_chars")
 
 
 def rank_documents(documents: DataFrame, keys: str | list[str], n: int = fixed.PDF_TOP_N) -> DataFrame:

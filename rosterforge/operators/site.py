@@ -42,8 +42,11 @@ def follow_links(links: DataFrame) -> DataFrame:
 
 def page_texts(pages: DataFrame) -> DataFrame:
     """Pages with enough readable text, as the site's text files."""
+    # one select per stage: each intermediate text is worked out once
+    shown = pages.select("url", h.body(F.col("html")).alias("shown"))
+    candidates = shown.select("url", "shown", h.content_texts(F.col("shown")).alias("texts"))
     return (
-        pages.select("url", h.page_text(F.col("html")).alias("text"))
+        candidates.select("url", h.chosen_text(F.col("texts"), F.col("shown")).alias("text"))
         .where(F.char_length("text") > fixed.PAGE_TEXT_MIN_CHARS)
         .select("url", "text", u.text_asset_name(F.col("url")).alias("file"))
     )
