@@ -165,9 +165,12 @@ def replace_slice(
 REVIEW_KEY = ["daycare_id", "source", "author_name", "published_time"]
 
 
-def review_rows(records: DataFrame) -> DataFrame:
-    """One row per review of a record's place; out-of-range ratings are left out."""
-    rows = records.select("daycare_id", F.posexplode("reviews").alias("ord", "r")).select(
+def review_rows(records: DataFrame, *more: str) -> DataFrame:
+    """One row per review of a record's place; out-of-range ratings are left out.
+
+    `ord` is the place of the review in its record, ``more`` are columns kept.
+    """
+    rows = records.select("daycare_id", *more, F.posexplode("reviews").alias("ord", "r")).select(
         "daycare_id",
         F.lit(fixed.REVIEW_SOURCE).alias("source"),
         F.col("r.author_name").alias("author_name"),
@@ -175,6 +178,7 @@ def review_rows(records: DataFrame) -> DataFrame:
         F.col("r.text").alias("text"),
         epoch_to_timestamp(F.col("r.time")).alias("published_time"),
         "ord",
+        *more,
     )
     return rows.where(review_is_valid(F.col("rating")))
 

@@ -55,11 +55,13 @@ def dedupe_sources(chunks: Column) -> Column:
     """
     linked = F.filter(chunks, lambda c: ~tx.is_blank(c["uri"]))
     urls = F.transform(linked, lambda c: c["uri"])
-    firsts = F.filter(linked, lambda c, i: F.array_position(urls, c["uri"]) == i + 1)
-    title = lambda c: tx.first_filled(c["title"], c["uri"])
+    first_title = lambda url: F.get(linked, F.array_position(urls, url).cast("int") - 1)["title"]
+    titled = F.transform(
+        F.array_distinct(urls),
+        lambda url: F.struct(url.alias("url"), tx.first_filled(first_title(url), url).alias("title")),
+    )
     return F.transform(
-        firsts,
-        lambda c: F.struct(c["uri"].alias("url"), title(c).alias("title"), title(c).alias("source_name")),
+        titled, lambda s: F.struct(s["url"].alias("url"), s["title"].alias("title"), s["title"].alias("source_name"))
     )
 
 
