@@ -38,7 +38,7 @@ def q_truncate_sentence(spark, sf):
         """CASE WHEN doc_id % 11 = 4 THEN translate(text, '.!?', ',,,') WHEN doc_id % 11 = 5 THEN translate(text, ' .!?', '____')
         WHEN doc_id % 11 = 6 THEN NULL ELSE text END"""
     )
-    documents = table(spark, sf, "documents").select("doc_id", text.alias("t"))
+    documents = table(spark, sf, "documents", "doc_id", "text").select("doc_id", text.alias("t"))
     return documents.select("doc_id", tx.truncate_sentence(F.col("t")).alias("cut"))
 
 
@@ -82,7 +82,7 @@ def q_context_assemble(spark, sf):
     parts = synth.context_parts(
         F.struct(F.col("doc_id").alias("id"), "lang"), F.col("doc_id") % 3 == 0, F.when(F.col("doc_id") % 4 != 1, F.col("text")), research, place
     )
-    rows = table(spark, sf, "documents").select("doc_id", F.array_join(parts, "\n").alias("context"))
+    rows = table(spark, sf, "documents", "doc_id", "lang", "source", "text").select("doc_id", F.array_join(parts, "\n").alias("context"))
     return rows.select("doc_id", F.md5("context").alias("context_md5"), F.char_length("context").cast("long").alias("chars"))
 
 
@@ -139,7 +139,7 @@ def q_sources_dedupe(spark, sf):
         return F.struct(uri.alias("uri"), F.when(F.char_length(uri) % 2 == 0, F.lit("T")).alias("title"))
 
     chunks = F.transform(F.split(F.regexp_replace("text", "\n", " "), " "), chunk)
-    rows = table(spark, sf, "conversations").select("conv_id", "turn", chunks.alias("chunks"))
+    rows = table(spark, sf, "conversations", "conv_id", "turn", "text").select("conv_id", "turn", chunks.alias("chunks"))
     sources = synth.dedupe_sources(F.col("chunks"))
     line = F.transform("sources", lambda s: F.concat(s["url"], F.lit("|"), s["title"]))
     return rows.select("conv_id", "turn", sources.alias("sources")).select(

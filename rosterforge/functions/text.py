@@ -83,27 +83,17 @@ def is_upper(value: Column) -> Column:
     return (F.upper(value) == value) & (F.lower(value) != value)
 
 
-def last_index(value: Column, mark: str) -> Column:
-    """0-based index of the last occurrence of one character, -1 if absent."""
-    at = F.locate(mark, F.reverse(value))
-    return F.when(at == 0, F.lit(-1)).otherwise(F.char_length(value) - at)
-
-
 def truncate_sentence(value: Column, limit: int = fixed.DESCRIPTION_CAP) -> Column:
     """Cut over-long text after its last sentence, else at its last space."""
     head = F.substring(value, 1, limit)
-    sentence = F.greatest(last_index(head, "."), last_index(head, "!"), last_index(head, "?"))
-    space = last_index(head, " ")
+    sentences = F.regexp_extract(head, r"(?s)^.*[.!?]", 0)
+    words = F.regexp_extract(head, r"(?s)^(.*) ", 1)
     cut = (
-        F.when(sentence > limit - fixed.DESCRIPTION_WINDOW, F.substring(head, F.lit(1), sentence + 1))
-        .when(space >= 0, F.concat(F.substring(head, F.lit(1), space), F.lit("...")))
+        F.when(F.char_length(sentences) > limit - fixed.DESCRIPTION_WINDOW + 1, sentences)
+        .when(head.contains(" "), F.concat(words, F.lit("...")))
         .otherwise(F.concat(head, F.lit("...")))
     )
-    return (
-        F.when(F.coalesce(F.char_length(value), F.lit(0)) == 0, F.lit(""))
-        .when(F.char_length(value) <= limit, value)
-        .otherwise(cut)
-    )
+    return F.when(is_blank(value), "").when(F.char_length(value) <= limit, value).otherwise(cut)
 
 
 def key_value_text(raw_json: Column) -> Column:

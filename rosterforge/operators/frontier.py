@@ -27,40 +27,43 @@ def crawl(
     a site brings at most ``max_pages`` rows into any join.
     """
     first = starts.select(
-        "domain", F.col("start_url").alias("url"), F.lit(0).alias("depth"), F.lit(1).alias("pos")
+        "domain", F.col("start_url").alias("url"), F.lit(0).alias("depth"), F.lit(1).alias("pos"), F.lit(1).alias("used")
     )
     # layers are small and each is read several times later: written once,
     # so that no layer works out the earlier ones again
     layer = durable(_with_loaded(first, loaded), "layer")
     visited = layer
     for depth in range(1, max_depth + 1):
-        parents = layer.where("loaded").select("domain", F.col("url").alias("src"), F.col("pos").alias("parent"))
+        parents = layer.where("loaded").select(
+            "domain", F.col("url").alias("src"), F.col("pos").alias("parent"), "used"
+        )
         allowed = links if depth == 1 else links.where("priority")
         sightings = (
             parents.join(allowed, ["domain", "src"])
             .groupBy("domain", F.col("dst").alias("url"))
-            .agg(F.min(F.struct("parent", "ord")).alias("at"))
+            .agg(F.min(F.struct("parent", "ord")).alias("at"), F.max("used").alias("used"))
             .join(visited.select("domain", "url"), ["domain", "url"], "left_anti")
         )
-        counts = visited.groupBy("domain").agg(F.max("pos").alias("_used"))
         # the rank limit is applied per task before rows of a site meet
-        nth = F.row_number().over(Window.partitionBy("domain").orderBy("at"))
+        site = Window.partitionBy("domain")
         found = (
-            sightings.withColumn("_nth", nth)
+            sightings.withColumn("_nth", F.row_number().over(site.orderBy("at")))
             .where(F.col("_nth") < max_pages)
-            .join(counts, "domain")
+            .withColumn("pos", F.col("used") + F.col("_nth"))
+            .where(F.col("pos") <= max_pages)
             .select(
-                "domain", "url", F.lit(depth).alias("depth"), (F.col("_used") + F.col("_nth")).alias("pos")
+                "domain", "url", F.lit(depth).alias("depth"), "pos", F.max("pos").over(site).alias("used")
             )
-            .where(F.col("pos") <= max_pages)
         )
-        layer = durable(_with_loaded(found, loaded), "layer")
+        layer = _with_loaded(found, loaded)
+        if depth < max_depth:
+            layer = durable(layer, "layer")
         visited = visited.unionByName(layer)
-    return visited
+    return visited.drop("used")
 
 
 def _with_loaded(layer: DataFrame, loaded: DataFrame) -> DataFrame:
     known = loaded.select("url", F.lit(True).alias("loaded"))
     return layer.join(known, "url", "left").select(
-        "domain", "url", "depth", "pos", F.coalesce("loaded", F.lit(False)).alias("loaded")
+        "domain", "url", "depth", "pos", "used", F.coalesce("loaded", F.lit(False)).alias("loaded")
     )

@@ -129,9 +129,11 @@ def site_bodies(
     sites that exceed it, so that no task ever holds more than the cap and one
     block of a site.
     """
-    lined = refined_lines(files).where(F.size("lines") > 0)
-    blocks = lined.select(
-        "domain", F.lit(0).alias("part"), "ord", _file_block(F.col("file"), F.col("lines")).alias("block")
+    # a file without lines has no block; asking for that only after the write
+    # keeps its lines from being worked out a second time for the filter
+    blocks = refined_lines(files).select(
+        "domain", F.lit(0).alias("part"), "ord",
+        F.when(F.size("lines") > 0, _file_block(F.col("file"), F.col("lines"))).alias("block"),
     )
     if documents is not None:
         filled = F.filter("pages", lambda page: page != "")
@@ -139,7 +141,8 @@ def site_bodies(
             "domain", F.lit(1).alias("part"), "ord", _document_block(F.col("file"), filled).alias("block")
         )
         blocks = blocks.unionByName(extra)
-    blocks = durable(blocks.withColumn("chars", F.char_length("block").cast("long")), "blocks")
+    blocks = durable(blocks, "blocks").where(F.col("block").isNotNull())
+    blocks = blocks.withColumn("chars", F.char_length("block").cast("long"))
 
     lengths = blocks.select("domain", "part", "ord", "chars")
     long_sites = (

@@ -42,13 +42,15 @@ def follow_links(links: DataFrame) -> DataFrame:
 
 def page_texts(pages: DataFrame) -> DataFrame:
     """Pages with enough readable text, as the site's text files."""
-    # one select per stage: each intermediate text is worked out once
+    # One select per stage, so each intermediate text is worked out once.  The
+    # length test sits inside the explode: as a filter it would be pushed down
+    # to the scan and work everything out again.
     shown = pages.select("url", h.body(F.col("html")).alias("shown"))
     candidates = shown.select("url", "shown", h.content_texts(F.col("shown")).alias("texts"))
-    return (
-        candidates.select("url", h.chosen_text(F.col("texts"), F.col("shown")).alias("text"))
-        .where(F.char_length("text") > fixed.PAGE_TEXT_MIN_CHARS)
-        .select("url", "text", u.text_asset_name(F.col("url")).alias("file"))
+    chosen = F.array(h.chosen_text(F.col("texts"), F.col("shown")))
+    long_enough = F.filter(chosen, lambda t: F.char_length(t) > fixed.PAGE_TEXT_MIN_CHARS)
+    return candidates.select("url", F.explode(long_enough).alias("text")).select(
+        "url", "text", u.text_asset_name(F.col("url")).alias("file")
     )
 
 

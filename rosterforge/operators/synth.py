@@ -54,15 +54,19 @@ def dedupe_sources(chunks: Column) -> Column:
     A reply's chunks are one array in one row, so this needs no shuffle.
     """
     linked = F.filter(chunks, lambda c: ~tx.is_blank(c["uri"]))
-    urls = F.transform(linked, lambda c: c["uri"])
-    first_title = lambda url: F.get(linked, F.array_position(urls, url).cast("int") - 1)["title"]
-    titled = F.transform(
-        F.array_distinct(urls),
-        lambda url: F.struct(url.alias("url"), tx.first_filled(first_title(url), url).alias("title")),
-    )
-    return F.transform(
-        titled, lambda s: F.struct(s["url"].alias("url"), s["title"].alias("title"), s["title"].alias("source_name"))
+    # bound once through a one-element array: a lambda works out again
+    # whatever it refers to outside of its own variables
+    bound = F.array(F.struct(linked.alias("all"), F.transform(linked, lambda c: c["uri"]).alias("urls")))
+
+    def source(found: Column, url: Column) -> Column:
+        title = F.get(found["all"], F.array_position(found["urls"], url).cast("int") - 1)["title"]
+        named = tx.first_filled(title, url)
+        return F.struct(url.alias("url"), named.alias("title"), named.alias("source_name"))
+
+    sources = F.transform(
+        bound, lambda found: F.transform(F.array_distinct(found["urls"]), lambda url: source(found, url))
     )
+    return F.get(sources, F.lit(0))
 
 
 def parse_research(replies: DataFrame) -> DataFrame:
