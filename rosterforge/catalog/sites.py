@@ -13,6 +13,7 @@ from rosterforge.functions import images as im
 from rosterforge.functions import urls as u
 from rosterforge.operators import site
 from rosterforge.operators.frontier import crawl
+from rosterforge.session import durable
 
 SUFFIXES = ["", ".pdf", ".JPG", ".png", ".webp", ".jpeg", ".pdf?x=1", ".html", ".webp#a"]
 URL = f"(url || {sql_pick('page_id', *SUFFIXES)})"
@@ -219,7 +220,9 @@ v{d} AS (SELECT * FROM v{d - 1} UNION ALL SELECT domain, url, {d}, CAST(pos AS I
 
 @query("q_crawl_frontier", _sql_walk())
 def q_crawl_frontier(spark, sf):
-    return crawl(*walk_input(spark, sf))
+    starts, links, loaded = walk_input(spark, sf)
+    # every layer joins the links
+    return crawl(starts, durable(links, "links"), loaded)
 
 
 # --- reuse and manifests ----------------------------------------------------

@@ -43,6 +43,15 @@ def file_lines(files: DataFrame) -> DataFrame:
     return files.select("domain", "file", "ord", clean_lines(F.col("text")).alias("lines"))
 
 
+def worth_lines(files: DataFrame) -> DataFrame:
+    """Files with the cleaned lines that noise and length rules leave."""
+    return file_lines(files).select("domain", "file", "ord", _worth("lines").alias("lines"))
+
+
+def _worth(lines: str) -> Column:
+    return F.filter(lines, lambda line: ~is_noise(line) & ~is_short(line))
+
+
 def boilerplate_keys(files: DataFrame) -> DataFrame:
     """`domain, line_key` of boilerplate lines that no other rule removes.
 
@@ -50,10 +59,11 @@ def boilerplate_keys(files: DataFrame) -> DataFrame:
     is a third of a site costs one row per task.  Lines that noise and length
     rules drop anyway are left out before they are counted.
     """
-    worth = F.filter("lines", lambda line: ~is_noise(line) & ~is_short(line))
     counted = (
+        # exploding the expression, not a column of it: Spark would put a size
+        # test on the column and work it out once more for that
         file_lines(files)
-        .select("domain", F.explode(worth).alias("line"))
+        .select("domain", F.explode(_worth("lines")).alias("line"))
         .groupBy("domain", line_key(F.col("line")).alias("line_key"))
         .agg(F.count("*").alias("occurrences"))
         .where(F.col("occurrences") > 2)
@@ -64,8 +74,7 @@ def boilerplate_keys(files: DataFrame) -> DataFrame:
 def boilerplate_lines(files: DataFrame) -> DataFrame:
     """`domain, line, occurrences, n_files` of every boilerplate line."""
     counted = (
-        file_lines(files)
-        .select("domain", F.explode("lines").alias("line"))
+        files.select("domain", F.explode(clean_lines(F.col("text"))).alias("line"))
         .groupBy("domain", "line")
         .agg(F.count("*").alias("occurrences"))
         .where(F.col("occurrences") > 2)
@@ -87,18 +96,14 @@ def refined_lines(files: DataFrame) -> DataFrame:
     lines per file can pass the threshold, so it never outgrows a few pages.
     Files meet it over one join; their lines are never shuffled one by one.
     """
-    common = boilerplate_keys(files).groupBy("domain").agg(
-        F.collect_set("line_key").alias("common")
-    )
-    nothing = F.array().cast("array<binary>")
-    worth = F.filter("lines", lambda line: ~is_noise(line) & ~is_short(line))
-    kept = F.filter(worth, lambda line: ~F.array_contains(F.col("common"), line_key(line)))
+    common = boilerplate_keys(files).groupBy("domain").agg(F.collect_set("line_key").alias("common"))
+    unusual = F.filter("lines", lambda line: ~F.array_contains(F.col("common"), line_key(line)))
     return (
-        file_lines(files)
+        worth_lines(files)
         .join(common, "domain", "left")
         .select(
             "domain", "file", "ord",
-            F.when(F.coalesce(F.size("common"), F.lit(0)) > 0, kept).otherwise(worth).alias("lines"),
+            F.when(F.col("common").isNull(), F.col("lines")).otherwise(unusual).alias("lines"),
         )
     )
 

@@ -10,6 +10,7 @@ from rosterforge.functions import html as h
 from rosterforge.functions import urls as u
 from rosterforge.functions.images import screen_reason
 from rosterforge.functions.text import first_filled, is_blank
+from rosterforge.operators.late import where_once
 from rosterforge.operators.ordering import keep_first
 
 
@@ -26,30 +27,31 @@ def follow_links(links: DataFrame) -> DataFrame:
     Everything that does not depend on the walk is tested here, before any
     shuffle: form, same site, no blocked word.
     """
-    return (
-        links.select(
-            u.site_domain(F.col("url")).alias("domain"),
-            F.col("url").alias("src"),
-            u.normalize_link(F.col("link")).alias("dst"),
-            "ord",
-        )
-        .where(F.col("dst").startswith("http"))
-        .where(u.site_domain(F.col("dst")) == F.col("domain"))
-        .where(~u.is_blocked_link(F.col("dst")))
-        .withColumn("priority", u.is_priority_link(F.col("dst")))
+    named = links.select(
+        u.site_domain(F.col("url")).alias("domain"),
+        F.col("url").alias("src"),
+        u.normalize_link(F.col("link")).alias("dst"),
+        "ord",
+    )
+    judged = named.select(
+        "domain", "src", "dst", "ord",
+        u.is_priority_link(F.col("dst")).alias("priority"),
+        (
+            F.col("dst").startswith("http")
+            & (u.site_domain(F.col("dst")) == F.col("domain"))
+            & ~u.is_blocked_link(F.col("dst"))
+        ).alias("_allowed"),
     )
+    return where_once(judged, lambda r: r["_allowed"]).drop("_allowed")
 
 
 def page_texts(pages: DataFrame) -> DataFrame:
     """Pages with enough readable text, as the site's text files."""
-    # One select per stage, so each intermediate text is worked out once.  The
-    # length test sits inside the explode: as a filter it would be pushed down
-    # to the scan and work everything out again.
+    # one select per stage, so that each intermediate text is worked out once
     shown = pages.select("url", h.body(F.col("html")).alias("shown"))
     candidates = shown.select("url", "shown", h.content_texts(F.col("shown")).alias("texts"))
-    chosen = F.array(h.chosen_text(F.col("texts"), F.col("shown")))
-    long_enough = F.filter(chosen, lambda t: F.char_length(t) > fixed.PAGE_TEXT_MIN_CHARS)
-    return candidates.select("url", F.explode(long_enough).alias("text")).select(
+    chosen = candidates.select("url", h.chosen_text(F.col("texts"), F.col("shown")).alias("text"))
+    return where_once(chosen, lambda r: F.char_length(r["text"]) > fixed.PAGE_TEXT_MIN_CHARS).select(
         "url", "text", u.text_asset_name(F.col("url")).alias("file")
     )
 
