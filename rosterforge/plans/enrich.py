@@ -9,8 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rosterforge import fixed
-from rosterforge.functions.urls import site_domain
-from rosterforge.operators import images, ledger, model_calls, places, refine, site, synth
+from rosterforge.operators import images, ledger, model_calls, places, refine, selection, site, synth
 from rosterforge.operators.frontier import crawl
 from rosterforge.session import durable
 
@@ -25,6 +24,15 @@ class EnrichResult:
     usage: DataFrame
 
 
+def select_input(
+    unified: DataFrame, done: DataFrame | None = None, ids: DataFrame | None = None, limit: int | None = None
+) -> DataFrame:
+    """Records of one run: not yet done, of the wanted ids, the first of those."""
+    rows = unified if done is None else selection.not_done(unified, done)
+    rows = rows if ids is None else selection.only_ids(rows, ids)
+    return selection.first_rows(rows, limit)
+
+
 def site_stage(records: DataFrame, pages: DataFrame, run_time: Column) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Manifest, text files and media of the sites the records name.
 
@@ -148,7 +156,3 @@ def run(
         synth.final_record(finished), research, finished, drops, ledger.retry_rows(outcomes, run_time), usage
     )
 
-
-def domains(records: DataFrame) -> DataFrame:
-    """Distinct sites of the records."""
-    return records.select(site_domain(F.col("target_url")).alias("domain")).where(F.col("domain") != "").distinct()

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterforge.operators import publish as p
+from rosterforge.operators import selection
 from rosterforge.session import durable
 from rosterforge.sinks import versions
 
@@ -24,12 +25,21 @@ class Published:
     uploads: DataFrame
 
 
-def build(final: DataFrame, records: DataFrame, research: DataFrame, run_time: Column, public_base: str = "") -> Published:
-    """All tables of one run.  ``records`` brings `id` and `place`.
+def build(
+    final: DataFrame,
+    records: DataFrame,
+    research: DataFrame,
+    run_time: Column,
+    public_base: str = "",
+    limit: int | None = None,
+) -> Published:
+    """All tables of one run.  ``records`` brings `id` and `place`; ``limit``
+    takes the first records before any of them is judged.
 
     Rows are judged before anything is written, so a bad row costs only
     itself; children of an unpublished listing are left out.
     """
+    final = selection.first_rows(final, limit, "daycare_id")
     reason = p.publish_reason(F.struct(*final.columns), F.lit(None).cast("string"))
     judged = durable(final.withColumn("reason", reason), "final")
     good = judged.where(F.col("reason").isNull()).drop("reason")

@@ -46,7 +46,9 @@ def unify_registers(
         rows = selection.sample_per_source(rows, limit, seed)
     else:
         rows = selection.first_per_source(rows, limit)
-    return unify.with_drop_reason(rows, where)
+    # finding duplicates reads the rows twice: raw JSON is parsed and
+    # standardised once, the second reader needs three columns of the copy
+    return unify.with_drop_reason(durable(rows, "standardised"), where)
 
 
 def run(

@@ -123,6 +123,9 @@ SYNTHESIS_REPLY = struct(
 MODEL_REPLY = struct(
     daycare_id=S, step=S, input_md5=S, reply=S, input_tokens=L, output_tokens=L, error=S
 )
+SITE_MANIFEST = struct(
+    domain=S, root_url=S, timestamp=D, pages_crawled=I, pages_successful=I, assets_found=I, website_active=B
+)
 REFINED_SITE = struct(
     domain=S, verified_images=T.ArrayType(S), pdf_assets=T.ArrayType(S), body=S,
     website_active=B, raw_stats=struct(original_images=L, original_text_files=L),

@@ -20,7 +20,7 @@ from rosterforge.plans import starter
 from rosterforge.plans import unify as unify_plan
 from rosterforge.session import durable, durable_dir
 from rosterforge.sinks import files, versions
-from rosterforge.sources import ids, jsonl, registers
+from rosterforge.sources import ids, jsonl, registers, tables
 from rosterforge.streaming import incremental
 from tests.conftest import SF
 
@@ -332,10 +332,12 @@ def test_whole_flow(spark, tmp_path):
     assert retries == {("TX-2", fixed.RESEARCH_STEP), ("TX-5", fixed.SYNTHESIS_STEP)}
     assert sorted(r["id"] for r in ledger.retry_feed(result.retries).collect()) == ["TX-2", "TX-5"]
 
-    tables = publish_plan.build(result.final, result.records, result.research, F.lit("2024-01-01"), "https://f/")
+    limited = publish_plan.build(result.final, result.records, result.research, F.lit("2024-01-01"), limit=1)
+    assert [r["daycare_id"] for r in limited.listings.collect()] == ["TX-1"]
+    made = publish_plan.build(result.final, result.records, result.research, F.lit("2024-01-01"), "https://f/")
     root = str(tmp_path / "tables")
-    first = publish_plan.write(spark, tables, root)
-    second = publish_plan.write(spark, tables, root)
+    first = publish_plan.write(spark, made, root)
+    second = publish_plan.write(spark, made, root)
     for name in first:
         assert sorted(map(str, spark.read.parquet(first[name]).collect())) == sorted(map(str, spark.read.parquet(second[name]).collect()))
     listings = {r["daycare_id"]: r for r in spark.read.parquet(second["daycares"]).collect()}
@@ -384,6 +386,25 @@ def test_jsonl_round_trip(spark, tmp_path):
     assert bad.count() == 2
 
 
+def test_stored_tables(spark, tmp_path):
+    root = str(tmp_path / "manifest")
+    assert tables.site_manifest(spark, root).count() == 0 and tables.place_lookup(spark, root).columns[0] == "query_md5"
+    rows = spark.createDataFrame([("a.com", "http://a.com", 1.0, 2, 1, 0, True)], schemas.SITE_MANIFEST)
+    versions.publish(rows, root)
+    versions.publish(rows.withColumn("assets_found", F.lit(5)), root)
+    assert [r["assets_found"] for r in tables.site_manifest(spark, root).collect()] == [5]
+    (tmp_path / "sites" / "a.com").mkdir(parents=True)
+    (tmp_path / "sites" / "a.com" / "content_1.txt").write_text("URL: x\n\nOne two three four\n")
+    stored = tables.text_files(spark, f"{tmp_path}/sites/*")
+    assert [(r["domain"], r["file"], r["lines"]) for r in refine.refined_lines(stored).collect()] == [("a.com", "content_1.txt", ["One two three four"])]
+
+
+def test_input_selection(spark):
+    rows = spark.range(10).select("id", F.col("id").alias("_ord"))
+    chosen = enrich_plan.select_input(rows, spark.range(3), spark.range(2, 8), 2)
+    assert sorted(r["id"] for r in chosen.collect()) == [3, 4]
+
+
 def test_starter(spark, tmp_path):
     rows, seen = starter.starter_rows(spark, [(1, "Alice", 10), (2, "Bob", 20), (3, "Charlie", 30), (1, "Alice (Duplicate)", 10)])
     starter.run(rows, F.lit("2024-01-01T00:00:00"), str(tmp_path / "out"))
