@@ -100,8 +100,8 @@ def q_place_lookup_join(spark, sf):
 @query("q_place_gate")
 def q_place_gate(spark, sf):
     """Rows-only: the name ratio has no SQL counterpart (tested by brute force)."""
-    kept, drops = places.place_gate(records(spark, sf), lookup(spark, sf))
-    return kept.select("id", F.lit(None).cast("string").alias("reason")).unionByName(drops.select("id", "reason"))
+    judged = places.judge_places(records(spark, sf), lookup(spark, sf))
+    return judged.select("id", F.col("drop_reason").alias("reason"))
 
 
 @query(

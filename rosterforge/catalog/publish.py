@@ -81,7 +81,7 @@ def q_replace_slice(spark, sf):
     return p.replace_slice(old, new, "user_id", "event_type", ["click", "view"])
 
 
-_TIMES = ["=CAST(unix_seconds(CAST(ts AS TIMESTAMP)) AS STRING)", "0", "", None, "x", "=concat(' ', CAST(unix_seconds(CAST(ts AS TIMESTAMP)) AS STRING), ' ')"]
+_TIMES = ["=CAST(timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts) AS STRING)", "0", "", None, "x", "=concat(' ', CAST(timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts) AS STRING), ' ')"]
 _SQL_TIMES = ["=CAST(floor(epoch(ts)) AS BIGINT)", "0", "", None, "x", "=' ' || CAST(floor(epoch(ts)) AS BIGINT) || ' '"]
 
 
@@ -99,7 +99,7 @@ def q_epoch_ts(spark, sf):
     """WITH l AS (SELECT conv_id, turn, role, string_split(text, chr(10)) AS l FROM conversations),
 r AS (SELECT 'c' || conv_id AS daycare_id, turn, role, unnest(l) AS text, generate_subscripts(l, 1) - 1 AS ord, len(l) AS n FROM l),
 s AS (SELECT daycare_id, 'google' AS source, CASE WHEN length(text) % 5 = 0 THEN NULL ELSE role || length(text) % 3 END AS author_name, length(text) % 7 AS rating, text,
-  CASE WHEN length(text) % 2 = 0 THEN NULL ELSE strftime(make_timestamp(CAST(1700000000 + length(text) % 4 AS BIGINT) * 1000000), '%Y-%m-%d %H:%M:%S') END AS published_time, turn * 100000 + ord AS ord FROM r),
+  CASE WHEN length(text) % 2 = 0 THEN NULL ELSE strftime(make_timestamp(CAST(1700000000 + length(text) % 4 AS BIGINT) * 1000000), '%Y-%m-%dT%H:%M:%S') END AS published_time, turn * 100000 + ord AS ord FROM r),
 k AS (SELECT *, row_number() OVER (PARTITION BY daycare_id, source, author_name, published_time ORDER BY ord DESC) AS nth FROM s WHERE rating BETWEEN 1 AND 5)
 SELECT daycare_id, source, author_name, CAST(rating AS INTEGER) AS rating, text, published_time FROM k WHERE nth = 1""",
 )
@@ -118,7 +118,7 @@ def q_reviews_explode(spark, sf):
     unique = p.latest(rows, p.REVIEW_KEY, [F.col("turn").desc(), F.col("ord").desc()])
     return unique.select(
         "daycare_id", "source", "author_name", "rating", "text",
-        F.date_format("published_time", "yyyy-MM-dd HH:mm:ss").alias("published_time"),
+        epoch_to_iso(F.unix_seconds("published_time")).alias("published_time"),
     )
 
 

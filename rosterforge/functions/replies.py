@@ -37,11 +37,18 @@ def parse_object(text: Column, schema: T.StructType | str) -> Column:
     return F.when(is_json_object(text), F.from_json(text, schema))
 
 
-def epoch_to_timestamp(value: Column) -> Column:
-    """Epoch seconds as a UTC time; zero, blank and unreadable give null."""
+def epoch_seconds(value: Column) -> Column:
+    """Whole epoch seconds; zero, blank and unreadable give null."""
     seconds = strip(value.cast("string")).try_cast("bigint")
-    return F.when(seconds != 0, F.timestamp_seconds(seconds))
+    return F.when(seconds != 0, seconds)
+
+
+def epoch_to_timestamp(value: Column) -> Column:
+    """Epoch seconds as an instant."""
+    return F.timestamp_seconds(epoch_seconds(value))
 
 
 def epoch_to_iso(value: Column) -> Column:
-    return F.date_format(epoch_to_timestamp(value), "yyyy-MM-dd'T'HH:mm:ss")
+    """Epoch seconds as UTC text, whatever the time zone of the session."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.date_format(F.timestamp_add("SECOND", epoch_seconds(value), epoch), "yyyy-MM-dd'T'HH:mm:ss")

@@ -65,9 +65,12 @@ def gate_reason() -> Column:
     )
 
 
-def place_gate(unified: DataFrame, lookup: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Records with a usable place, and the drop ledger of the others."""
-    judged = with_match(join_places(unified, lookup)).withColumn("drop_reason", gate_reason())
+def judge_places(unified: DataFrame, lookup: DataFrame) -> DataFrame:
+    """Records with their place and the `drop_reason` of the first gate they fail."""
+    return with_match(join_places(unified, lookup)).withColumn("drop_reason", gate_reason())
+
+
+def split_gate(judged: DataFrame) -> tuple[DataFrame, DataFrame]:
     kept = judged.where(F.col("drop_reason").isNull()).drop("drop_reason", "place_match")
     drops = judged.where(F.col("drop_reason").isNotNull()).select(
         "id", "source_state", F.lit("place").alias("step"), F.col("drop_reason").alias("reason"), "_ord"
@@ -75,6 +78,11 @@ def place_gate(unified: DataFrame, lookup: DataFrame) -> tuple[DataFrame, DataFr
     return kept, drops
 
 
+def place_gate(unified: DataFrame, lookup: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Records with a usable place, and the drop ledger of the others."""
+    return split_gate(judge_places(unified, lookup))
+
+
 def split_enriched(unified: DataFrame, enriched: DataFrame, key: str = "id") -> tuple[DataFrame, DataFrame]:
     """Records that still need a lookup, and those that already carry a place."""
     ids = enriched.select(key)

@@ -113,12 +113,10 @@ def run(
 ) -> EnrichResult:
     """All stages.  ``sites`` is the refined-site table; paid calls come after
     every gate and their replies are stored before they are parsed."""
-    kept, drops = places.place_gate(unified, lookup)
-    kept = durable(
-        kept.withColumn(
-            "target_url", site.target_url(F.col("place.contact.website"), F.col("contact.website"))
-        ),
-        "gated",
+    # written once: the gate holds the only Python rule before the paid calls
+    kept, drops = places.split_gate(durable(places.judge_places(unified, lookup), "judged"))
+    kept = kept.withColumn(
+        "target_url", site.target_url(F.col("place.contact.website"), F.col("contact.website"))
     )
     asked = kept.select(
         F.col("id").alias("daycare_id"),
@@ -141,8 +139,11 @@ def run(
     final_asked = joined.select(F.col("id").alias("daycare_id"), F.array_join(context, "\n").alias("prompt"))
     final_answers = model_calls.run_model(final_asked, synthesis_function, fixed.SYNTHESIS_STEP, store, **settings)
     parsed = synth.parse_synthesis(final_answers)
-    whole = joined.join(
-        parsed.select(F.col("daycare_id").alias("id"), "reply", F.col("error").alias("synthesis_error")), "id", "left"
+    whole = durable(
+        joined.join(
+            parsed.select(F.col("daycare_id").alias("id"), "reply", F.col("error").alias("synthesis_error")), "id", "left"
+        ),
+        "assembled",
     )
     outcomes = whole.select(
         F.struct(*unified.columns).alias("original_record"),
