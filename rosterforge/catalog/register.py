@@ -14,6 +14,7 @@ from rosterforge.operators import unify
 from rosterforge.operators.ordering import mark_first
 from rosterforge.operators.unify import LocationFilter
 from rosterforge.plans.starter import first_by_id
+from rosterforge.session import durable
 
 TYPES = [
     "Licensed Center", "Child Placing Agency", "Family Home", "Residential Treatment",
@@ -29,7 +30,7 @@ WORDS = ["Active", "Not Active", "Inactive", "Closed", None, "ACTIVE - probation
 
 def raw_tx(spark: SparkSession, sf: str) -> DataFrame:
     k = "c_custkey"
-    rows = table(spark, sf, "customer").join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    rows = table(spark, sf, "customer", "c_custkey", "c_name", "c_nationkey").join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     rows = rows.select(
         F.expr(f"CAST({k} AS STRING)").alias("operation_id"),
         pick(
@@ -93,6 +94,13 @@ def unified(spark: SparkSession, sf: str) -> DataFrame:
     return unify.union_registers({"TX": raw_tx(spark, sf), "WA": raw_wa(spark, sf)})
 
 
+def reasoned(spark: SparkSession, sf: str, where: LocationFilter | None = None, raw_text: bool = False) -> DataFrame:
+    """As the job does it: standardised once, then read by both branches."""
+    rows = unified(spark, sf)
+    rows = rows if raw_text else rows.drop("original_record")
+    return unify.with_drop_reason(durable(rows, "standardised"), where)
+
+
 def _sql_raw() -> str:
     k = "c_custkey"
     s = "s_suppkey"
@@ -233,7 +241,7 @@ def q_union_standardize(spark, sf):
 
 @query("q_drop_reason", sql_reasoned() + " SELECT id, source_state, name, full_address, drop_reason FROM reasoned")
 def q_drop_reason(spark, sf):
-    return unify.with_drop_reason(unified(spark, sf)).select(
+    return reasoned(spark, sf).select(
         "id", "source_state", "name", F.col("address.full").alias("full_address"), "drop_reason"
     )
 
@@ -247,7 +255,7 @@ _REASON_VALUES = ", ".join(f"('{r}')" for r in fixed.DROP_REASONS)
 FROM (VALUES {_REASON_VALUES}) known(reason) LEFT JOIN reasoned r ON r.drop_reason = known.reason GROUP BY known.reason""",
 )
 def q_drop_counts(spark, sf):
-    _, drops = unify.split_drops(unify.with_drop_reason(unified(spark, sf)))
+    _, drops = unify.split_drops(reasoned(spark, sf))
     return unify.drop_counts(drops)
 
 
@@ -259,7 +267,7 @@ _WHERE = """WHEN lower(trim(city)) <> 'nation_7' THEN 'filtered_city'
 @query("q_location_filter", sql_reasoned(_WHERE) + " SELECT id, source_state, city, state, zip, drop_reason FROM reasoned")
 def q_location_filter(spark, sf):
     where = LocationFilter(city=" Nation_7", state="tx", zip="787 ")
-    return unify.with_drop_reason(unified(spark, sf), where).select(
+    return reasoned(spark, sf, where).select(
         "id", "source_state", "address.city", "address.state", "address.zip", "drop_reason"
     )
 
@@ -278,7 +286,7 @@ def q_location_filter(spark, sf):
 FROM reasoned WHERE drop_reason IS NULL""",
 )
 def q_ingest_row(spark, sf):
-    kept, _ = unify.split_drops(unify.with_drop_reason(unified(spark, sf)))
+    kept, _ = unify.split_drops(reasoned(spark, sf, raw_text=True))
     rows = unify.ingestion_rows(kept, "batch-1", "2024-01-01T00:00:00+00:00")
     return rows.withColumn("capacity", F.col("capacity").cast("string"))
 
