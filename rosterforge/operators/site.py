@@ -14,10 +14,13 @@ from rosterforge.operators.late import where_once
 from rosterforge.operators.ordering import keep_first
 
 
-def extract_links(pages: DataFrame) -> DataFrame:
-    """`url, ord, href, link` of every link, resolved against its page."""
-    return pages.select("url", F.posexplode(h.anchors(F.col("html"))).alias("ord", "href")).select(
-        "url", "ord", "href", u.resolve_link(F.col("url"), F.col("href")).alias("link")
+def extract_links(pages: DataFrame, *keep: str) -> DataFrame:
+    """`url, ord, href, link` of every link, resolved against its page.
+
+    ``keep`` names columns of the page that go along, here and below.
+    """
+    return pages.select("url", *keep, F.posexplode(h.anchors(F.col("html"))).alias("ord", "href")).select(
+        "url", *keep, "ord", "href", u.resolve_link(F.col("url"), F.col("href")).alias("link")
     )
 
 
@@ -45,31 +48,31 @@ def follow_links(links: DataFrame) -> DataFrame:
     return where_once(judged, lambda r: r["_allowed"]).drop("_allowed")
 
 
-def page_texts(pages: DataFrame) -> DataFrame:
+def page_texts(pages: DataFrame, *keep: str) -> DataFrame:
     """Pages with enough readable text, as the site's text files."""
     # one select per stage, so that each intermediate text is worked out once
-    shown = pages.select("url", h.body(F.col("html")).alias("shown"))
-    candidates = shown.select("url", "shown", h.content_texts(F.col("shown")).alias("texts"))
-    chosen = candidates.select("url", h.chosen_text(F.col("texts"), F.col("shown")).alias("text"))
+    shown = pages.select("url", *keep, h.body(F.col("html")).alias("shown"))
+    candidates = shown.select("url", *keep, "shown", h.content_texts(F.col("shown")).alias("texts"))
+    chosen = candidates.select("url", *keep, h.chosen_text(F.col("texts"), F.col("shown")).alias("text"))
     return where_once(chosen, lambda r: F.char_length(r["text"]) > fixed.PAGE_TEXT_MIN_CHARS).select(
-        "url", "text", u.text_asset_name(F.col("url")).alias("file")
+        "url", *keep, "text", u.text_asset_name(F.col("url")).alias("file")
     )
 
 
-def page_assets(pages: DataFrame) -> DataFrame:
+def page_assets(pages: DataFrame, *keep: str) -> DataFrame:
     """Image and PDF references of every page, in page order; http only."""
     images = (
-        pages.select("url", F.posexplode(h.image_tags(F.col("html"))).alias("ord", "tag"))
-        .select("url", "ord", h.image_source(F.col("tag")).alias("src"))
+        pages.select("url", *keep, F.posexplode(h.image_tags(F.col("html"))).alias("ord", "tag"))
+        .select("url", *keep, "ord", h.image_source(F.col("tag")).alias("src"))
         .select(
-            "url", "ord", F.lit("image").alias("type"),
+            "url", *keep, "ord", F.lit("image").alias("type"),
             u.resolve_link(F.col("url"), F.col("src")).alias("original_url"),
         )
     )
     documents = (
-        extract_links(pages)
+        extract_links(pages, *keep)
         .where(F.col("href").endswith(".pdf"))
-        .select("url", "ord", F.lit("pdf").alias("type"), F.col("link").alias("original_url"))
+        .select("url", *keep, "ord", F.lit("pdf").alias("type"), F.col("link").alias("original_url"))
     )
     named = F.when(F.col("type") == "pdf", u.pdf_asset_name(F.col("original_url"))).otherwise(
         u.image_asset_name(F.col("original_url"))

@@ -43,10 +43,13 @@ def site_stage(records: DataFrame, pages: DataFrame, run_time: Column) -> tuple[
     stored = pages.select("url").distinct()
     links = durable(site.follow_links(site.extract_links(pages)), "links")
     visits = durable(crawl(starts, links, stored), "visits")
-    chosen = pages.join(visits.where("loaded").select("domain", "url", "pos"), "url")
-    texts = site.page_texts(chosen.select("url", "html")).join(visits.select("domain", "url", "pos"), "url")
+    # the visited pages, a few per site, are read twice: texts and media
+    chosen = durable(
+        pages.select("url", "html").join(visits.where("loaded").select("domain", "url", "pos"), "url"), "chosen"
+    )
+    texts = site.page_texts(chosen, "domain", "pos")
     files = texts.select("domain", "file", F.col("pos").alias("ord"), "text")
-    media = site.page_assets(chosen.select("url", "html")).join(visits.select("domain", "url", "pos"), "url")
+    media = site.page_assets(chosen, "domain", "pos")
     unique = site.dedupe_assets(
         media, [F.col("pos"), F.col("type"), F.col("ord")]
     )
