@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rosterforge.llm import quality_mil
+from rosterforge.llm import bag_minhash, chunk_dedup, quality_mil
 
 
 @dataclass(frozen=True)
@@ -34,3 +34,26 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 @query("op5_quality_classifier")
 def quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
     return quality_mil.classify(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query(
+    "op3_exact_dedup",
+    """
+    WITH t AS (
+        SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'))
+            AS text_sha256 FROM documents
+    )
+    SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
+        doc_id = max(doc_id) OVER g AS kept, text_sha256
+    FROM t WINDOW g AS (PARTITION BY text_sha256)
+    """,
+)
+def exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return chunk_dedup.decide(table(spark, sf, "documents")).select(
+        "doc_id", "keep_id", "group_size", "kept", "text_sha256"
+    )
+
+
+@query("op8_minhash_near_dedup")
+def minhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return bag_minhash.classes(table(spark, sf, "documents")).select("doc_id", "class_id", "class_size", "kept")
