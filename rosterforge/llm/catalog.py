@@ -5,9 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from rosterforge.llm import bag_minhash, chunk_dedup, quality_mil
+from rosterforge.llm import bag_minhash, chunk_dedup, quality_mil, ss_packing, token_files
+from rosterforge.session import durable_path
+
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
 @dataclass(frozen=True)
@@ -57,3 +61,15 @@ def exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
 @query("op8_minhash_near_dedup")
 def minhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return bag_minhash.classes(table(spark, sf, "documents")).select("doc_id", "class_id", "class_size", "kept")
+
+
+@query("op4_sum_of_squares_packing")
+def sum_of_squares_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return ss_packing.pack(table(spark, sf, "documents"), WORD_BPE, with_ids=False)
+
+
+@query("op6_token_files")
+def token_id_files(spark: SparkSession, sf: str) -> DataFrame:
+    path = durable_path(spark, "token-files")
+    token_files.write(table(spark, sf, "documents"), path, WORD_BPE)
+    return token_files.digests(token_files.read(spark, path))
