@@ -2,44 +2,77 @@
 
 For vocabularies whose pre-tokenizer never joins across ASCII whitespace (the
 one of `word_bpe_49k.json` drops white space), a text's ids are those of its
-whitespace-separated parts one after another.  The library encodes every
-distinct part once per worker; texts are joined from the kept ids, as bytes of
-little-endian unsigned 32-bit numbers.  What is kept is bounded.
+whitespace-separated parts one after another.  The library's normaliser,
+pre-tokenizer and model see every distinct part once per worker; texts are
+joined from the kept ids, as bytes of little-endian unsigned 32-bit numbers.
+What is kept is bounded.
 """
 
 from __future__ import annotations
 
 import os
+import re
 
-MOST_WORDS = 400_000
+import numpy as np
+
+MOST_WORDS = 800_000
+_OTHER_SPACE = re.compile(r"[^\S ]")
 _LOADED: dict[str, WordTokens] = {}
 
 
 class WordTokens:
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, most_words: int = MOST_WORDS) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.most_words = most_words
         self.known: dict[bytes, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
 
     def encode(self, text: bytes) -> bytes:
         # special tokens are told by their exact case; elsewhere A-Z and a-z give the same ids
         parts = (text if b"<|" in text else text.lower()).split()
-        self.learn(set(parts).difference(self.known))
+        fresh = set(parts).difference(self.known)
+        if fresh:
+            self.learn(list(fresh))
         found = self.known
         out = b"".join([found[p] for p in parts])
-        if len(found) > MOST_WORDS:
+        if len(found) > self.most_words:
             found.clear()
+            self.pieces.clear()
         return out
 
-    def learn(self, words: set[bytes]) -> None:
+    def learn(self, words: list[bytes]) -> None:
+        whole = [w for w in words if b"<|" in w]
+        words = [w for w in words if b"<|" not in w]
+        texts = [w.decode("utf-8", "replace") for w in words]
+        odd = [_OTHER_SPACE.search(t) is not None for t in texts] if _OTHER_SPACE.search(" ".join(texts)) else None
+        if odd:  # white space of other scripts within words
+            whole += [w for w, o in zip(words, odd, strict=True) if o]
+            words = [w for w, o in zip(words, odd, strict=True) if not o]
+            texts = [t for t, o in zip(texts, odd, strict=True) if not o]
+        normal = self.tokenizer.normalizer.normalize_str(" ".join(texts))
+        parts = normal.split(" ")
+        for word in whole:
+            self.known[word] = _bytes(self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids)
         if not words:
             return
-        fresh = list(words)
-        made = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in fresh], add_special_tokens=False)
-        for word, encoding in zip(fresh, made, strict=True):
-            self.known[word] = b"".join([i.to_bytes(4, "little") for i in encoding.ids])
+        begins = np.cumsum([0] + [len(p) + 1 for p in parts])
+        found = self.tokenizer.pre_tokenizer.pre_tokenize_str(normal)
+        owner = np.searchsorted(begins, [at for _, (at, _) in found], side="right") - 1
+        ids: list[list[bytes]] = [[] for _ in words]
+        pieces, model = self.pieces, self.tokenizer.model
+        for (piece, _), i in zip(found, owner.tolist(), strict=True):
+            known = pieces.get(piece)
+            if known is None:
+                known = pieces[piece] = _bytes([t.id for t in model.tokenize(piece)])
+            ids[i].append(known)
+        self.known.update(zip(words, [b"".join(x) for x in ids], strict=True))
+
+
+def _bytes(ids: list[int]) -> bytes:
+    return np.array(ids, "<u4").tobytes()
 
 
 def loaded(path: str) -> WordTokens:
