@@ -1,2 +1,62 @@
-STAGES=[]; ORACLE_SQL=None
-def run(spark, sf_dir): return None
+"""From raw documents to packed training windows: five stages, each on all that the one before kept.
+
+A stage takes (spark, docs, sf_dir) and gives a DataFrame; `run` writes each
+one's rows to the shared folder as Parquet and hands them to the next.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+
+from rosterforge.llm import bag_minhash, chunk_dedup, quality_mil, source_mix, ss_packing
+from rosterforge.session import durable
+
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier scores 0.5 or more."""
+    return quality_mil.reject(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the one with the largest doc_id."""
+    return chunk_dedup.unique(docs)
+
+
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of near copies the one with the smallest doc_id."""
+    return bag_minhash.one_of_each(docs)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as the mix takes them: whole, in part, or up to three times."""
+    return source_mix.apply(docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids in windows: one row per piece of a document, with its ids."""
+    return ss_packing.pack(docs, TOKENIZER)
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality_classifier", good_quality),
+    ("exact_dedup", without_copies),
+    ("minhash_near_dedup", without_near_copies),
+    ("source_mix", mixed),
+    ("sum_of_squares_packing", packed),
+]
+
+# Classifier, signatures and tokenizer are beyond SQL; the tests hold every stage against plain Python.
+ORACLE_SQL: str | None = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents of `sf_dir`."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        docs = durable(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return docs

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from rosterforge.llm import bag_minhash, chunk_dedup, quality_mil, ss_packing, token_files
+from rosterforge.llm import bag_minhash, chunk_dedup, quality_mil, source_mix, ss_packing, token_files
 from rosterforge.session import durable_path
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -73,3 +73,8 @@ def token_id_files(spark: SparkSession, sf: str) -> DataFrame:
     path = durable_path(spark, "token-files")
     token_files.write(table(spark, sf, "documents"), path, WORD_BPE)
     return token_files.digests(token_files.read(spark, path))
+
+
+@query("op10_source_mix")
+def mix_sources(spark: SparkSession, sf: str) -> DataFrame:
+    return source_mix.taken(table(spark, sf, "documents"))
