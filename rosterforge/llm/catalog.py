@@ -8,7 +8,7 @@ from dataclasses import dataclass
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from rosterforge.llm import bag_minhash, chunk_dedup, quality_mil, source_mix, ss_packing, token_files, url_filter
+from rosterforge.llm import bag_minhash, chunk_dedup, language_id, quality_mil, source_mix, ss_packing, token_files, url_filter
 from rosterforge.session import durable_path
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -83,3 +83,9 @@ def mix_sources(spark: SparkSession, sf: str) -> DataFrame:
 @query("op1_url_filter")
 def filter_urls(spark: SparkSession, sf: str) -> DataFrame:
     return url_filter.judge(table(spark, sf, "pages"), url_filter.train(url_filter.labelled_urls(spark)))
+
+
+@query("op7_language_id")
+def identify_languages(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    return language_id.identify(docs, language_id.train(docs))

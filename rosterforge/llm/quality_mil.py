@@ -244,11 +244,10 @@ def train(
         .join(F.broadcast(chosen), "doc_id")
         .select("doc_id", "quality", "text")
     )
-    rows = texts.mapInArrow(_bags, "doc_id long, quality int, bag binary").toArrow().to_pylist()
-    unique = {}
-    for row in rows:  # repeated rows of one id count once
-        unique.setdefault(row["doc_id"], row)
-    rows = [unique[k] for k in sorted(unique)]
+    made = texts.mapInArrow(_bags, "doc_id long, quality int, bag binary")
+    # however often rows repeat an id, it counts once
+    once = made.groupBy("doc_id", "quality").agg(F.min("bag").alias("bag"))
+    rows = sorted(once.toArrow().to_pylist(), key=lambda r: r["doc_id"])
     y = np.array([r["quality"] for r in rows], dtype=np.float64)
     if len(set(y)) < 2:
         return Model(counts.get(1, 0) / max(1, sum(counts.values())))
