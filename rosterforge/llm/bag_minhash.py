@@ -16,14 +16,16 @@ however heavy its repetitions are.
 
 Links.  Documents with equal multisets are one class at once.  The others meet
 in 24 bands of 5 positions (a pair at 0.8 is missed with a chance below 1 in
-10,000).  In a band's bucket, candidates are compared with one leader first, the
+10,000).  In a band's bucket, candidates are first compared with one leader, the
 document that shares most buckets, so that a group of thousands of near copies
-costs one comparison each; links join components.  Then every document outside
-its bucket's main component is compared with all members of other components
-that the triangle inequality of the distance and the sizes leave possible.
-Skipped pairs are only those already in one component or provably below the
-threshold: the components are those of all pairs that share a bucket.  Each
-comparison is exact over the whole multisets.
+costs one comparison each; links join components.  Where a bucket then still
+holds several components, those outside its largest are compared with all of
+the bucket in blocks: signatures meet inside a task, and of the pairs of
+different components whose signatures agree in 74 of 120 positions or more (a
+pair at 0.8 has fewer with a chance of 1 in a million) two rounds compare those
+of a spanning forest, the likeliest links, and a last round all that are left.
+Pairs already in one component need no comparison.  Every comparison behind a
+link is exact over the whole multisets.
 
 Defined cases: null and empty texts have no shingles and are all one class;
 rows that repeat an id or a text are members of one class; the smallest doc_id
@@ -38,19 +40,21 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rosterforge.llm.arrow_text import column_bytes, mix, slices, unit, word_bounds, word_hashes
 from rosterforge.llm.chunk_dedup import NULL_HASH
 from rosterforge.llm.components import connected
-from rosterforge.llm.rows import keep_rows
+from rosterforge.llm.rows import KEY, keep_rows, numbered, wanted
 from rosterforge.session import durable, ship_package
 
 WORDS = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 24, 5
-STAR_ROUNDS = 3
+FOREST_ROUNDS = 2
+AGREE = 74
+BLOCK = 256
 _FACTORS = mix(np.arange(1, WORDS + 1, dtype=np.uint64) << np.uint64(33)) | np.uint64(1)
 _LOW48 = np.uint64((1 << 48) - 1)
 
@@ -152,13 +156,16 @@ def _bag_rows(batches: Iterator[pa.RecordBatch], with_bands: bool) -> Iterator[p
             n = high - low
             counts = np.zeros(n, np.int64)
             ends = [0]
-            bands, blobs, hashes = [], [], []
+            bands, sketches, blobs = [], [], []
             for a in range(0, n, 60_000):  # text numbers take 16 bits of a sorted key
                 b = min(a + 60_000, n)
                 made, counts[a:b] = shingles(raw[own[a] : own[b]], own[a : b + 1] - own[a])
                 text, shingle, weight, elements = bags(made, counts[a:b])
                 if with_bands:
-                    bands.append(band_keys(signatures(text, shingle, weight, b - a)))
+                    signed_ = signatures(text, shingle, weight, b - a)
+                    bands.append(band_keys(signed_))
+                    # 32 bits of each arrival tell positions apart
+                    sketches.append((mix(signed_.view(np.uint64)) >> np.uint64(32)).astype(np.uint32))
                 packed = np.ascontiguousarray(elements.view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
                 ends = np.concatenate([[0], np.cumsum(counts[a:b])]) * 6
                 blobs += [packed[x:y] for x, y in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
@@ -187,7 +194,8 @@ def _bag_rows(batches: Iterator[pa.RecordBatch], with_bands: bool) -> Iterator[p
                 there = np.where(counts > 0, BANDS, 0)
                 keys = keys[np.repeat(counts > 0, BANDS)]
                 columns.append(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(there)]), pa.int32()), pa.array(keys)))
-                names = ["uid", "doc_id", "text_hash", "bag1", "bag2", "n", "bands"]
+                columns.append(pa.array([x.tobytes() for x in np.concatenate(sketches)], pa.binary()))
+                names = ["uid", "doc_id", "text_hash", "bag1", "bag2", "n", "bands", "sketch"]
             else:
                 columns.append(pa.array(blobs, pa.binary()))
                 names = ["rid", "bag"]
@@ -200,7 +208,7 @@ def signed(docs: DataFrame) -> DataFrame:
     ship_package(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
         lambda batches: _bag_rows(batches, True),
-        "uid long, doc_id long, text_hash long, bag1 long, bag2 long, n long, bands array<long>",
+        "uid long, doc_id long, text_hash long, bag1 long, bag2 long, n long, bands array<long>, sketch binary",
     )
 
 
@@ -248,9 +256,17 @@ def similarities(pairs: DataFrame, features: DataFrame) -> DataFrame:
     )
 
 
-def _possible(a: str, b: str, threshold: float) -> str:
-    """Sizes alone bound the similarity by smaller / larger."""
-    return f"least({a}, {b}) >= {threshold} * greatest({a}, {b})"
+def _packed(count: str, number: str) -> Column:
+    """One number that orders by count, then by the smaller number: its maximum needs no sort."""
+    return F.expr(f"CAST({count} AS DECIMAL(38, 0)) * 10000000000000000000BD + (9223372036854775807 - {number})")
+
+
+def _unpacked(name: str) -> Column:
+    return F.expr(f"9223372036854775807 - CAST(top % 10000000000000000000BD AS BIGINT) AS {name}")
+
+
+def _roots(known: DataFrame, threshold: float) -> DataFrame:
+    return connected(known.where(F.col("similarity") >= threshold).select("a", "b"))
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -265,48 +281,38 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         rows.select("uid", "doc_id", "text_hash", "bag1", "bag2").join(same, ["bag1", "bag2"])
         .select("uid", "doc_id", "text_hash", "rid"), "bag-members",
     )
-    # one row per distinct multiset and band
-    spots = rows.join(same.select("rid"), F.col("uid") == F.col("rid"), "left_semi").select(
-        F.col("uid").alias("rid"), "doc_id", "text_hash", "n", F.explode("bands").alias("key")
-    )
-    spots = durable(spots, "bag-bands")
+    # one row per distinct multiset, and per band of it
+    reps = rows.join(same.select("rid"), F.col("uid") == F.col("rid"), "left_semi")
+    spots = durable(reps.select(F.col("uid").alias("rid"), "n", F.posexplode("bands").alias("band", "key")), "bag-bands")
     shared = spots.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-    buckets = durable(spots.select("key", "rid", "n").join(shared, "key"), "bag-buckets")
+    buckets = durable(spots.join(shared, "key"), "bag-buckets")
     weight = buckets.groupBy("rid").agg(F.sum("size").alias("weight"))
     buckets = durable(buckets.drop("size").join(weight, "rid"), "bag-buckets")
-    candidates = buckets.select("rid").distinct()
     # the texts of candidates are read a second time; only they are turned into multisets
-    names = spots.select("rid", "doc_id", "text_hash").distinct().join(candidates, "rid", "left_semi")
+    names = rows.select(F.col("uid").alias("rid"), "doc_id", "text_hash", "n", "sketch").join(weight.select("rid"), "rid", "left_semi")
+    names = durable(names, "bag-candidates")
     features = durable(_features(docs, names), "bag-multisets")
 
-    known = None  # similarities worked out so far
-    roots = None
-    open_ = buckets
     # weight first, then the smaller id: one number per document, so that the maximum needs no sort
-    rank = "CAST(weight AS DECIMAL(38, 0)) * 10000000000000000000BD + (9223372036854775807 - rid)"
-    for _ in range(STAR_ROUNDS):
-        leaders = open_.groupBy("key").agg(F.max(F.expr(rank)).alias("top")).select(
-            "key", F.expr("9223372036854775807 - CAST(top % 10000000000000000000BD AS BIGINT)").alias("leader")
-        )
-        sizes = buckets.select(F.col("rid").alias("leader"), F.col("n").alias("leader_n")).distinct()
-        stars = durable(open_.join(leaders, "key").where("rid <> leader"), "bag-stars")
-        pairs = (
-            stars.select(F.expr("least(leader, rid) AS a"), F.expr("greatest(leader, rid) AS b"), "leader", "n").distinct()
-            .join(sizes, "leader").where(_possible("n", "leader_n", threshold)).select("a", "b").distinct()
-        )
-        if known is not None:
-            pairs = pairs.join(known, ["a", "b"], "left_anti")
-        fresh = durable(similarities(pairs, features), "bag-similarities")
-        known = fresh if known is None else durable(known.union(fresh), "bag-similarities")
-        roots = connected(known.where(F.col("similarity") >= threshold).select("a", "b"))
-        open_ = _outside(stars, roots)
-        if open_.isEmpty():
-            break
-    rest = durable(_rest(buckets, roots, known, threshold), "bag-pairs")
-    if not rest.isEmpty():
-        fresh = similarities(rest, features)
+    leaders = buckets.groupBy("key").agg(F.max(_packed("weight", "rid")).alias("top")).select("key", _unpacked("leader"))
+    sizes = names.select(F.col("rid").alias("leader"), F.col("n").alias("leader_n"))
+    pairs = (
+        buckets.select("key", "rid", "n").join(leaders, "key").where("rid <> leader").join(sizes, "leader")
+        .where(f"least(n, leader_n) >= {threshold} * greatest(n, leader_n)")
+        .selectExpr("least(leader, rid) AS a", "greatest(leader, rid) AS b").distinct()
+    )
+    known = durable(similarities(pairs, features), "bag-similarities")
+    for turn in (*range(1, FOREST_ROUNDS + 1), None):
+        roots = _roots(known, threshold)
+        rest = _rest(buckets, roots, names, threshold, turn).join(known.select("a", "b"), ["a", "b"], "left_anti")
+        fresh = durable(similarities(rest, features), "bag-similarities")
+        if fresh.isEmpty():
+            if turn is None:
+                break
+            continue
         known = durable(known.union(fresh), "bag-similarities")
-        roots = connected(known.where(F.col("similarity") >= threshold).select("a", "b"))
+    else:
+        roots = _roots(known, threshold)
     named = members.join(roots.selectExpr("node AS rid", "root"), "rid", "left").withColumn("root", F.coalesce("root", "rid"))
     groups = named.groupBy("root").agg(
         F.min("doc_id").alias("class_id"),
@@ -320,63 +326,103 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 def _features(docs: DataFrame, names: DataFrame) -> DataFrame:
     """`rid, bag` of the named documents: all elements of the multiset, six bytes each."""
-    own = docs.select(docs["doc_id"].cast("long").alias("_id"), F.xxhash64(docs["text"]).alias("_hash"), docs["text"].alias("_text"))
-    # of repeated rows one; numbered per task before the shuffle that the join needs anyway
-    once = Window.partitionBy("_id", "_hash").orderBy(F.lit(0))
-    own = own.withColumn("_n", F.row_number().over(once)).where("_n = 1")
-    same = F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_hash") == F.col("text_hash"))
+    own = numbered(docs, docs["text"].alias("_text")).where("_n = 1")
     return (
-        own.join(names, same)
+        own.join(wanted(names, "rid"), KEY)
         .select("rid", "_text")
         .mapInArrow(lambda batches: _bag_rows(batches, False), "rid long, bag binary")
     )
 
 
-def _outside(stars: DataFrame, roots: DataFrame) -> DataFrame:
-    """Members of each bucket that are in another component than the bucket's leader."""
-    mine = roots.selectExpr("node AS rid", "root AS mine")
-    its = roots.selectExpr("node AS leader", "root AS its")
-    return durable(
-        stars.join(mine, "rid", "left").join(its, "leader", "left")
-        .where("coalesce(mine, rid) <> coalesce(its, leader)").select("key", "rid", "n", "weight"), "bag-open",
-    )
-
-
-def _rest(buckets: DataFrame, roots: DataFrame, known: DataFrame, threshold: float) -> DataFrame:
-    """Pairs still to compare: of different components in one bucket, one of them outside its largest component.
+def _rest(buckets: DataFrame, roots: DataFrame, names: DataFrame, threshold: float, turn: int | None) -> DataFrame:
+    """Pairs of different components in one bucket that signatures and sizes leave possible.
 
-    Pairs with a known similarity, or that sizes or the triangle inequality
-    (through the bucket's first leader) rule out, are left out.
+    Members outside and inside a bucket's largest component are cut into blocks
+    of about `BLOCK` by hash; every two blocks meet in a task unless both are
+    inside, so a bucket of any size is spread.  With a `turn` a task gives a
+    spanning forest of its pairs, another one each turn; without, all of them.
     """
-    named = buckets.join(roots.selectExpr("node AS rid", "root"), "rid", "left").withColumn("root", F.coalesce("root", "rid"))
+    named = buckets.select("key", "band", "rid").join(roots.selectExpr("node AS rid", "root"), "rid", "left")
+    named = named.withColumn("root", F.coalesce("root", "rid"))
     parts = named.groupBy("key", "root").agg(F.count("*").alias("part"))
-    # the largest part of each bucket; of equal ones the smaller root
-    rank = "CAST(part AS DECIMAL(38, 0)) * 10000000000000000000BD + (9223372036854775807 - root)"
-    main = parts.groupBy("key").agg(F.max(F.expr(rank)).alias("top"), F.count("*").alias("parts")).where("parts > 1").select(
-        "key", F.expr("9223372036854775807 - CAST(top % 10000000000000000000BD AS BIGINT)").alias("main")
+    open_ = parts.groupBy("key").agg(
+        F.max(_packed("part", "root")).alias("top"), F.sum("part").alias("all"), F.max("part").alias("most")
+    ).where("all > most").select(
+        "key", _unpacked("main"), F.expr(f"CAST(ceil((all - most) / {BLOCK}) AS INT)").alias("outer_blocks"),
+        F.expr(f"CAST(ceil(most / {BLOCK}) AS INT)").alias("inner_blocks"),
     )
-    lead = "CAST(weight AS DECIMAL(38, 0)) * 10000000000000000000BD + (9223372036854775807 - rid)"
-    leaders = buckets.groupBy("key").agg(F.max(F.expr(lead)).alias("top")).select(
-        "key", F.expr("9223372036854775807 - CAST(top % 10000000000000000000BD AS BIGINT)").alias("leader")
+    placed = named.join(open_, "key").selectExpr(
+        "key", "band", "rid", "root", "outer_blocks", "inner_blocks",
+        "IF(root = main, outer_blocks + CAST(pmod(xxhash64(rid), inner_blocks) AS INT), CAST(pmod(xxhash64(rid), outer_blocks) AS INT)) AS block",
     )
-    placed = named.join(main, "key").join(leaders, "key")
-    placed = placed.withColumns({"a": F.expr("least(leader, rid)"), "b": F.expr("greatest(leader, rid)")})
-    placed = durable(
-        placed.join(known, ["a", "b"], "left").selectExpr(
-            "key", "rid", "n", "root", "root <> main AS outer_", "CASE WHEN rid = leader THEN 0D ELSE 1 - similarity END AS far"
-        ), "bag-placed",
+    others = F.expr("sequence(0, IF(block < outer_blocks, outer_blocks + inner_blocks, outer_blocks) - 1)")
+    dealt = placed.select("key", "band", "rid", "root", "block", F.explode(others).alias("other"))
+    rows = dealt.join(names.select("rid", "n", "sketch"), "rid").selectExpr(
+        "xxhash64(key, least(block, other), greatest(block, other)) AS task", "key", "band", "rid", "root",
+        "block", "block <> other AS across", "n", "sketch",
     )
-    one = placed.where("outer_").selectExpr("key", "rid AS x", "n AS nx", "root AS rx", "far AS fx")
-    two = placed.selectExpr("key", "rid AS y", "n AS ny", "root AS ry", "far AS fy", "outer_ AS oy")
-    slack = 1 - threshold + 1e-9
-    pairs = (
-        one.join(two, "key")
-        .where(f"rx <> ry AND (NOT oy OR x < y) AND {_possible('nx', 'ny', threshold)}")
-        .where(f"fx IS NULL OR fy IS NULL OR abs(fx - fy) <= {slack}")
-        .selectExpr("least(x, y) AS a", "greatest(x, y) AS b")
-        .distinct()
+
+    def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = table if held is None else pa.concat_tables([held, table])
+            marks = np.asarray(table.column("task"))
+            changes = np.flatnonzero(np.diff(marks)) + 1
+            last = int(changes[-1]) if len(changes) else 0
+            if last:
+                yield _agreeing(table.slice(0, last), threshold, turn)
+            held = table.slice(last)
+        if held is not None:
+            yield _agreeing(held, threshold, turn)
+
+    ordered = rows.repartition("task").sortWithinPartitions("task", "key")
+    return ordered.mapInArrow(met, "a long, b long").distinct()
+
+
+def _agreeing(table: pa.Table, threshold: float, turn: int | None) -> pa.RecordBatch:
+    """Pairs of one task (rows next to each other) in different components whose sketches agree often enough."""
+    task, key, band, rid, root, block, across, n = (
+        np.asarray(table.column(k)) for k in ("task", "key", "band", "rid", "root", "block", "across", "n")
     )
-    return pairs.join(known.select("a", "b"), ["a", "b"], "left_anti")
+    sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint32).reshape(len(rid), -1)
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    for step in range(1, len(rid)):
+        x = np.flatnonzero((task[step:] == task[:-step]) & (key[step:] == key[:-step]))
+        if not len(x):
+            break
+        y = x + step
+        fit = (root[x] != root[y]) & (np.minimum(n[x], n[y]) >= threshold * np.maximum(n[x], n[y]))
+        fit &= ~across[x] | (block[x] != block[y])  # of two blocks only pairs across them
+        x, y = x[fit], y[fit]
+        same = sketch[x] == sketch[y]
+        agree = same.sum(axis=1)
+        fit = agree >= AGREE
+        x, y, same, agree = x[fit], y[fit], same[fit], agree[fit]
+        if len(x):
+            shared = same.reshape(len(x), BANDS, ROWS).all(axis=2).argmax(axis=1)
+            fit = shared == band[x]  # a pair leaves only the first bucket it shares
+            found.append((x[fit], y[fit], agree[fit]))
+    x, y, agree = (np.concatenate(c) for c in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 3
+    if turn is not None and len(x):
+        # later turns weigh the same pairs a little differently
+        noise = unit(mix(rid[x].astype(np.uint64) ^ mix(rid[y].astype(np.uint64) + np.uint64(turn)))) * 6 * (turn - 1)
+        order = np.argsort(-(agree + noise), kind="stable")
+        kept, parent = [], {}
+
+        def top(node: tuple[int, int]) -> tuple[int, int]:
+            while node in parent:
+                node = parent[node]
+            return node
+
+        for i, t, r, s in zip(order.tolist(), task[x[order]].tolist(), root[x[order]].tolist(), root[y[order]].tolist(), strict=True):
+            one, two = top((t, r)), top((t, s))
+            if one != two:
+                parent[one] = two
+                kept.append(i)
+        x, y = x[kept], y[kept]
+    a, b = rid[x], rid[y]
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
 
 def one_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

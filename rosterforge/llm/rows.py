@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -14,13 +14,26 @@ def keep_rows(docs: DataFrame, kept: DataFrame) -> DataFrame:
     the shuffle) and the join need the same partitioning.
     """
     columns = docs.columns
-    own = docs.select(
-        F.struct(*[docs[c] for c in columns]).alias("_row"),
-        docs["doc_id"].cast("long").alias("_id"),
-        F.xxhash64(docs["text"]).alias("_hash"),
-    )
-    first = Window.partitionBy("_id", "_hash").orderBy(F.lit(0))
-    own = own.withColumn("_n", F.row_number().over(first)).where("_n = 1")
-    wanted = kept.select(F.col("doc_id").alias("_kept_id"), F.col("text_hash").alias("_kept_hash"))
-    same = F.col("_id").eqNullSafe(F.col("_kept_id")) & (F.col("_hash") == F.col("_kept_hash"))
-    return own.join(wanted, same, "left_semi").select("_row.*")
+    own = numbered(docs, F.struct(*[docs[c] for c in columns]).alias("_row")).where("_n = 1")
+    return own.join(wanted(kept), KEY, "left_semi").select("_row.*")
+
+
+# A null id is told by a column of its own: plain equalities let the join reuse the numbering's shuffle.
+KEY = ["_id", "_no_id", "_hash"]
+
+
+def numbered(docs: DataFrame, payload: Column) -> DataFrame:
+    """`payload` with the key of each row and `_n`, which numbers rows that repeat an id and a text."""
+    own = docs.select(payload, *_key(docs["doc_id"], F.xxhash64(docs["text"])))
+    return own.withColumn("_n", F.row_number().over(Window.partitionBy(*KEY).orderBy(F.lit(0))))
+
+
+def wanted(decisions: DataFrame, *more: str) -> DataFrame:
+    """Decisions (`doc_id`, `text_hash`) by the same key."""
+    return decisions.select(*_key(F.col("doc_id"), F.col("text_hash")), *more)
+
+
+def _key(doc_id: Column, text_hash: Column) -> list[Column]:
+    return [
+        F.coalesce(doc_id.cast("long"), F.lit(0)).alias("_id"), doc_id.isNull().alias("_no_id"), text_hash.alias("_hash"),
+    ]
