@@ -20,12 +20,12 @@ in 24 bands of 5 positions (a pair at 0.8 is missed with a chance below 1 in
 document that shares most buckets, so that a group of thousands of near copies
 costs one comparison each; links join components.  Where a bucket then still
 holds several components, those outside its largest are compared with all of
-the bucket in blocks: signatures meet inside a task, and of the pairs of
-different components whose signatures agree in 74 of 120 positions or more (a
-pair at 0.8 has fewer with a chance of 1 in a million) two rounds compare those
-of a spanning forest, the likeliest links, and a last round all that are left.
-Pairs already in one component need no comparison.  Every comparison behind a
-link is exact over the whole multisets.
+the bucket in blocks, inside tasks that hold the members' signatures and whole
+multisets: pairs of different components whose signatures agree in 74 of 120
+positions or more (a pair at 0.8 has fewer with a chance of 1 in a million) are
+compared exactly, and only links that join components leave the task.  So a
+group of thousands of texts just below the threshold costs comparisons, but no
+rows.  Pairs already in one component need no comparison.
 
 Defined cases: null and empty texts have no shingles and are all one class;
 rows that repeat an id or a text are members of one class; the smallest doc_id
@@ -52,7 +52,6 @@ from rosterforge.session import durable, ship_package
 WORDS = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 24, 5
-FOREST_ROUNDS = 2
 AGREE = 74
 BLOCK = 256
 _FACTORS = mix(np.arange(1, WORDS + 1, dtype=np.uint64) << np.uint64(33)) | np.uint64(1)
@@ -212,38 +211,36 @@ def signed(docs: DataFrame) -> DataFrame:
     )
 
 
+def unpacked(blobs: list[bytes]) -> list[np.ndarray]:
+    """Elements of each multiset, from six bytes each."""
+    sizes = [len(b) // 6 for b in blobs]
+    wide = np.zeros((sum(sizes), 8), np.uint8)
+    wide[:, :6] = np.frombuffer(b"".join(blobs), np.uint8).reshape(-1, 6)
+    return np.split(wide.view(np.uint64).reshape(-1), np.cumsum(sizes)[:-1]) if sizes else []
+
+
+def jaccard(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Exact weighted Jaccard similarity of each pair of multisets; two empty ones are equal."""
+    sizes = np.array([[len(x), len(y)] for x, y in zip(left, right, strict=True)], np.int64).reshape(-1, 2)
+    common = np.zeros(len(left), np.int64)
+    for a, b in slices(np.concatenate([[0], np.cumsum(sizes.sum(axis=1))]), 1 << 20):
+        for low in range(a, b, 60_000):  # pair numbers take 16 bits of a sorted key
+            high = min(b, low + 60_000)
+            number = np.arange(high - low, dtype=np.uint64) << np.uint64(48)
+            keys = [
+                np.concatenate(side[low:high]) | np.repeat(number, sizes[low:high, k]) for k, side in enumerate((left, right))
+            ]
+            merged = np.sort(np.concatenate(keys))
+            same = merged[1:][merged[1:] == merged[:-1]]
+            common[low:high] = np.bincount((same >> np.uint64(48)).astype(np.int64), minlength=high - low)
+    union = sizes.sum(axis=1) - common
+    return np.where(union > 0, common / np.maximum(union, 1), 1.0)
+
+
 def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Exact weighted Jaccard similarity of each row's two multisets."""
     for batch in batches:
-        left, right = column_bytes(batch.column(2)), column_bytes(batch.column(3))
-        n = batch.num_rows
-        sizes_l, sizes_r = np.diff(left[1]) // 6, np.diff(right[1]) // 6
-        total = np.concatenate([[0], np.cumsum(sizes_l + sizes_r)])
-        common = np.zeros(n, np.int64)
-        for a, b in slices(total, 1 << 20):
-            keys = []
-            for (data, offsets), sizes in ((left, sizes_l), (right, sizes_r)):
-                part = data[offsets[a] : offsets[b]].reshape(-1, 6)
-                wide = np.zeros((len(part), 8), np.uint8)
-                wide[:, :6] = part
-                for from_, to in ((a, b),):
-                    number = np.repeat(np.arange(to - from_, dtype=np.uint64) & np.uint64(0xFFFF), sizes[a:b])
-                keys.append(wide.view(np.uint64).reshape(-1) | (number << np.uint64(48)))
-            row = np.concatenate([np.repeat(np.arange(b - a), s[a:b]) for s in (sizes_l, sizes_r)])
-            if b - a <= 65536:
-                merged = np.sort(np.concatenate(keys))
-                same = merged[1:][merged[1:] == merged[:-1]]
-                common[a:b] = np.bincount((same >> np.uint64(48)).astype(np.int64), minlength=b - a)
-            else:  # tiny multisets, very many pairs
-                order = np.lexsort((np.concatenate(keys), row))
-                k, r = np.concatenate(keys)[order], row[order]
-                hit = (k[1:] == k[:-1]) & (r[1:] == r[:-1])
-                common[a:b] = np.bincount(r[1:][hit], minlength=b - a)
-        union = sizes_l + sizes_r - common
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(np.where(union > 0, common / np.maximum(union, 1), 1.0))],
-            ["a", "b", "similarity"],
-        )
+        found = jaccard(unpacked(batch.column(2).to_pylist()), unpacked(batch.column(3).to_pylist()))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found)], ["a", "b", "similarity"])
 
 
 def similarities(pairs: DataFrame, features: DataFrame) -> DataFrame:
@@ -265,10 +262,6 @@ def _unpacked(name: str) -> Column:
     return F.expr(f"9223372036854775807 - CAST(top % 10000000000000000000BD AS BIGINT) AS {name}")
 
 
-def _roots(known: DataFrame, threshold: float) -> DataFrame:
-    return connected(known.where(F.col("similarity") >= threshold).select("a", "b"))
-
-
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """`doc_id, class_id, class_size, kept, text_hash` of every document.
 
@@ -301,18 +294,12 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         .where(f"least(n, leader_n) >= {threshold} * greatest(n, leader_n)")
         .selectExpr("least(leader, rid) AS a", "greatest(leader, rid) AS b").distinct()
     )
-    known = durable(similarities(pairs, features), "bag-similarities")
-    for turn in (*range(1, FOREST_ROUNDS + 1), None):
-        roots = _roots(known, threshold)
-        rest = _rest(buckets, roots, names, threshold, turn).join(known.select("a", "b"), ["a", "b"], "left_anti")
-        fresh = durable(similarities(rest, features), "bag-similarities")
-        if fresh.isEmpty():
-            if turn is None:
-                break
-            continue
-        known = durable(known.union(fresh), "bag-similarities")
-    else:
-        roots = _roots(known, threshold)
+    linked = f"similarity >= {threshold}"
+    stars = durable(similarities(pairs, features).where(linked).select("a", "b"), "bag-links")
+    roots = connected(stars)
+    rest = durable(_rest(buckets, roots, names.join(features, "rid"), threshold), "bag-links")
+    if not rest.isEmpty():
+        roots = connected(stars.union(rest))
     named = members.join(roots.selectExpr("node AS rid", "root"), "rid", "left").withColumn("root", F.coalesce("root", "rid"))
     groups = named.groupBy("root").agg(
         F.min("doc_id").alias("class_id"),
@@ -334,13 +321,12 @@ def _features(docs: DataFrame, names: DataFrame) -> DataFrame:
     )
 
 
-def _rest(buckets: DataFrame, roots: DataFrame, names: DataFrame, threshold: float, turn: int | None) -> DataFrame:
-    """Pairs of different components in one bucket that signatures and sizes leave possible.
+def _rest(buckets: DataFrame, roots: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Links between different components that share a bucket, enough of them to join those components.
 
     Members outside and inside a bucket's largest component are cut into blocks
     of about `BLOCK` by hash; every two blocks meet in a task unless both are
-    inside, so a bucket of any size is spread.  With a `turn` a task gives a
-    spanning forest of its pairs, another one each turn; without, all of them.
+    inside, so a bucket of any size is spread.
     """
     named = buckets.select("key", "band", "rid").join(roots.selectExpr("node AS rid", "root"), "rid", "left")
     named = named.withColumn("root", F.coalesce("root", "rid"))
@@ -357,9 +343,9 @@ def _rest(buckets: DataFrame, roots: DataFrame, names: DataFrame, threshold: flo
     )
     others = F.expr("sequence(0, IF(block < outer_blocks, outer_blocks + inner_blocks, outer_blocks) - 1)")
     dealt = placed.select("key", "band", "rid", "root", "block", F.explode(others).alias("other"))
-    rows = dealt.join(names.select("rid", "n", "sketch"), "rid").selectExpr(
+    rows = dealt.join(texts.select("rid", "n", "sketch", "bag"), "rid").selectExpr(
         "xxhash64(key, least(block, other), greatest(block, other)) AS task", "key", "band", "rid", "root",
-        "block", "block <> other AS across", "n", "sketch",
+        "block", "block <> other AS across", "n", "sketch", "bag",
     )
 
     def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -371,17 +357,17 @@ def _rest(buckets: DataFrame, roots: DataFrame, names: DataFrame, threshold: flo
             changes = np.flatnonzero(np.diff(marks)) + 1
             last = int(changes[-1]) if len(changes) else 0
             if last:
-                yield _agreeing(table.slice(0, last), threshold, turn)
+                yield _joined(table.slice(0, last), threshold)
             held = table.slice(last)
         if held is not None:
-            yield _agreeing(held, threshold, turn)
+            yield _joined(held, threshold)
 
     ordered = rows.repartition("task").sortWithinPartitions("task", "key")
     return ordered.mapInArrow(met, "a long, b long").distinct()
 
 
-def _agreeing(table: pa.Table, threshold: float, turn: int | None) -> pa.RecordBatch:
-    """Pairs of one task (rows next to each other) in different components whose sketches agree often enough."""
+def _joined(table: pa.Table, threshold: float) -> pa.RecordBatch:
+    """Links that join the components of each block task in `table` (its rows next to each other)."""
     task, key, band, rid, root, block, across, n = (
         np.asarray(table.column(k)) for k in ("task", "key", "band", "rid", "root", "block", "across", "n")
     )
@@ -404,23 +390,34 @@ def _agreeing(table: pa.Table, threshold: float, turn: int | None) -> pa.RecordB
             fit = shared == band[x]  # a pair leaves only the first bucket it shares
             found.append((x[fit], y[fit], agree[fit]))
     x, y, agree = (np.concatenate(c) for c in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 3
-    if turn is not None and len(x):
-        # later turns weigh the same pairs a little differently
-        noise = unit(mix(rid[x].astype(np.uint64) ^ mix(rid[y].astype(np.uint64) + np.uint64(turn)))) * 6 * (turn - 1)
-        order = np.argsort(-(agree + noise), kind="stable")
-        kept, parent = [], {}
-
-        def top(node: tuple[int, int]) -> tuple[int, int]:
-            while node in parent:
-                node = parent[node]
-            return node
-
-        for i, t, r, s in zip(order.tolist(), task[x[order]].tolist(), root[x[order]].tolist(), root[y[order]].tolist(), strict=True):
-            one, two = top((t, r)), top((t, s))
+    bags_ = unpacked(table.column("bag").to_pylist())
+    parent: dict[tuple[int, int], tuple[int, int]] = {}
+
+    def top(node: tuple[int, int]) -> tuple[int, int]:
+        path = []
+        while node in parent:
+            path.append(node)
+            node = parent[node]
+        for step_ in path:
+            parent[step_] = node
+        return node
+
+    links = []
+    order = np.argsort(-agree, kind="stable")  # the likeliest first: what they join needs no comparison
+    for at in range(0, len(order), 2048):
+        part = order[at : at + 2048]
+        ends = [
+            (top((t, r)), top((t, s)))
+            for t, r, s in zip(task[x[part]].tolist(), root[x[part]].tolist(), root[y[part]].tolist(), strict=True)
+        ]
+        part = part[[one != two for one, two in ends]]
+        alike = jaccard([bags_[i] for i in x[part]], [bags_[i] for i in y[part]])
+        for i in part[alike >= threshold].tolist():
+            one, two = top((int(task[x[i]]), int(root[x[i]]))), top((int(task[x[i]]), int(root[y[i]])))
             if one != two:
                 parent[one] = two
-                kept.append(i)
-        x, y = x[kept], y[kept]
+                links.append(i)
+    x, y = x[links], y[links]
     a, b = rid[x], rid[y]
     return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
