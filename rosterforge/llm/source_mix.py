@@ -265,7 +265,8 @@ def plan(
         f"least(at + size - block * {block}, {block}) AS high", f"greatest(block * {block} - at, 0) AS doc_start",
     )
     slots = mixed_slots(known, shares, block, shard_slots, seed)
-    spans = slots.join(pieces, ["source_no", "block"]).where("low < take").selectExpr(
+    # the slots come from a small table of draws, whose size tells nothing of theirs: no broadcast
+    spans = slots.hint("merge").join(pieces.hint("merge"), ["source_no", "block"]).where("low < take").selectExpr(
         "shard", "position", "source_no", "pass", "block", "uid", "doc_start", "least(high, take) - low AS length", "low AS offset"
     )
     return Mix(placed, known, spans)
