@@ -8,7 +8,7 @@ from dataclasses import dataclass
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from rosterforge.llm import bag_minhash, chunk_dedup, language_id, quality_mil, source_mix, ss_packing, token_files, url_filter
+from rosterforge.llm import bag_minhash, chunk_dedup, language_id, pseudo_likelihood, quality_mil, source_mix, ss_packing, token_files, url_filter
 from rosterforge.session import durable_path
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -89,3 +89,8 @@ def filter_urls(spark: SparkSession, sf: str) -> DataFrame:
 def identify_languages(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     return language_id.identify(docs, language_id.train(docs))
+
+
+@query("op9_pseudo_likelihood")
+def pseudo_likelihood_scores(spark: SparkSession, sf: str) -> DataFrame:
+    return pseudo_likelihood.score_corpus(table(spark, sf, "documents"))
