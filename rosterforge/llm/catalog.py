@@ -8,7 +8,7 @@ from dataclasses import dataclass
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from rosterforge.llm import bag_minhash, chunk_dedup, language_id, pseudo_likelihood, quality_mil, source_mix, ss_packing, token_files, url_filter
+from rosterforge.llm import bag_minhash, chunk_dedup, language_id, pigeonhole_join, pseudo_likelihood, quality_mil, source_mix, ss_packing, token_files, url_filter
 from rosterforge.session import durable_path
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -94,3 +94,27 @@ def identify_languages(spark: SparkSession, sf: str) -> DataFrame:
 @query("op9_pseudo_likelihood")
 def pseudo_likelihood_scores(spark: SparkSession, sf: str) -> DataFrame:
     return pseudo_likelihood.score_corpus(table(spark, sf, "documents"))
+
+
+@query(
+    "op2_pigeonhole_join",
+    """
+    WITH RECURSIVE v AS (
+        SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+        WHERE embedding IS NOT NULL AND len(embedding) > 0
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+            AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+    ), links AS (
+        SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+        WHERE list_cosine_similarity(a.e, b.e) >= 0.9
+    ), reach AS (
+        SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+    ), least AS (SELECT a, min(b) AS b FROM reach GROUP BY a),
+    counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+    SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(least.b, vec_id)) AS component_id,
+        vec_id = least(vec_id, coalesce(least.b, vec_id)) AS kept
+    FROM embeddings LEFT JOIN counts ON counts.a = vec_id LEFT JOIN least ON least.a = vec_id
+    """,
+)
+def pigeonhole(spark: SparkSession, sf: str) -> DataFrame:
+    return pigeonhole_join.link(table(spark, sf, "embeddings"))
