@@ -6,16 +6,26 @@ whitespace-separated parts one after another.  The library's normaliser,
 pre-tokenizer and model see every distinct part once per worker; texts are
 joined from the kept ids, as bytes of little-endian unsigned 32-bit numbers.
 What is kept is bounded.
+
+Most parts are a run of Latin letters and perhaps a run of signs.  Where the
+loaded tokenizer is seen to treat those as two pieces (it is tried on examples
+when loaded), each piece goes straight to its model.
 """
 
 from __future__ import annotations
 
 import os
 import re
+import sys
+from array import array
 
 import numpy as np
 
-MOST_WORDS = 800_000
+MOST_WORDS = 1_200_000
+# letters of ASCII and of the Latin-1 block in UTF-8, then signs that are neither letters, digits nor apostrophes
+_PLAIN = re.compile(rb"((?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!-&(-/:-@\[-`{-~]*)")
+_LATIN = "".join(chr(c) for c in range(0xC0, 0x100) if c not in (0xD7, 0xF7))
+_EXAMPLES = [b"the", b"thndhain***", b"it.", b"gr\xc3\xb6\xc3\x9fe,!!", b"\xc3\x89au\xc3\xaa|", _LATIN.encode() + b"&&&", b"a$$$", b"zzz%%%@"]
 _OTHER_SPACE = re.compile(r"[^\S ]")
 _LOADED: dict[str, WordTokens] = {}
 
@@ -28,7 +38,38 @@ class WordTokens:
         self.tokenizer = Tokenizer.from_file(path)
         self.most_words = most_words
         self.known: dict[bytes, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.pieces: dict[str | bytes, bytes] = {}
+        self.spelled: dict[int, str] | None = None
+        self._try_plain()
+
+    def _try_plain(self) -> None:
+        """Take the short way for plain parts if it gives the library's ids on all examples."""
+        spelled = {}
+        for letter in _LATIN:
+            found = self.tokenizer.pre_tokenizer.pre_tokenize_str(self.tokenizer.normalizer.normalize_str(letter))
+            if len(found) != 1:
+                return
+            spelled[ord(letter)] = found[0][0]
+        self.spelled = spelled
+        for example in _EXAMPLES:
+            if self._plain(example) != _bytes(self.tokenizer.encode(example.decode(), add_special_tokens=False).ids):
+                self.spelled = None
+                break
+        self.pieces.clear()
+
+    def _piece(self, piece: bytes) -> bytes:
+        known = self.pieces.get(piece)
+        if known is None:
+            found = self.tokenizer.model.tokenize(piece.decode().translate(self.spelled))
+            known = self.pieces[piece] = _bytes([t.id for t in found])
+        return known
+
+    def _plain(self, word: bytes) -> bytes | None:
+        parts = _PLAIN.fullmatch(word)
+        if parts is None:
+            return None
+        letters, signs = parts.groups()
+        return self._piece(letters) + self._piece(signs) if signs else self._piece(letters)
 
     def encode(self, text: bytes) -> bytes:
         # special tokens are told by their exact case; elsewhere A-Z and a-z give the same ids
@@ -44,6 +85,17 @@ class WordTokens:
         return out
 
     def learn(self, words: list[bytes]) -> None:
+        if self.spelled is not None:
+            rest = []
+            for word in words:
+                ids = self._plain(word)
+                if ids is None:
+                    rest.append(word)
+                else:
+                    self.known[word] = ids
+            words = rest
+            if not words:
+                return
         whole = [w for w in words if b"<|" in w]
         words = [w for w in words if b"<|" not in w]
         texts = [w.decode("utf-8", "replace") for w in words]
@@ -72,7 +124,10 @@ class WordTokens:
 
 
 def _bytes(ids: list[int]) -> bytes:
-    return np.array(ids, "<u4").tobytes()
+    made = array("I", ids)
+    if sys.byteorder == "big":
+        made.byteswap()
+    return made.tobytes()
 
 
 def loaded(path: str) -> WordTokens:
