@@ -84,7 +84,8 @@ def encode(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
         out[at:to, :_N_KINDS] = kinds.reshape(to - at, _N_KINDS) / per[at:to]
         if len(chunk) > 1:
             pair = _PAIR[chunk[:-1].astype(np.int64) * 256 + chunk[1:]]
-            pairs = np.bincount(row[:-1] * PAIR_BUCKETS + pair, minlength=(to - at) * PAIR_BUCKETS)
+            inside = row[:-1] == row[1:]  # no pair crosses passages, or texts
+            pairs = np.bincount((row[:-1] * PAIR_BUCKETS + pair)[inside], minlength=(to - at) * PAIR_BUCKETS)
             out[at:to, _N_KINDS : _N_KINDS + PAIR_BUCKETS] = pairs.reshape(to - at, PAIR_BUCKETS) / per[at:to]
         at = to
     hashes = word_hashes(data, begin, end)
@@ -97,7 +98,7 @@ def encode(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     again[1:] = (hashes[1:] == hashes[:-1]) & (passage[1:] == passage[:-1])
     some = np.maximum(count, 1)
     tail = _N_KINDS + PAIR_BUCKETS
-    out[:, tail] = 1.0 - distinct / some
+    out[:, tail] = np.where(count > 0, 1.0 - distinct / some, 0.0)
     out[:, tail + 1] = np.bincount(passage[again], minlength=n) / some
     out[:, tail + 2] = np.bincount(passage, weights=end - begin, minlength=n) / some / 16.0
     out[:, tail + 3] = np.log1p(count) / 4.0
