@@ -44,7 +44,7 @@ from rosterforge.session import durable, ship_package
 
 BLOCKS = 4
 CELL = 8192  # vectors for which one pivot is taken
-CHUNK = 2048
+LIVES, MEETS = 8192, 32_768  # vectors of a task: those counted, and those they are compared with
 MOST_PIVOTS = 1024
 
 
@@ -64,11 +64,6 @@ def shares(size: int, threshold: float, blocks: int = BLOCKS) -> list[float]:
     return [2 * (1 - threshold) * (s.stop - s.start) / size + 1e-9 for s in blocks_of(size, blocks)]
 
 
-def _unit_rows(blobs: list[bytes]) -> np.ndarray:
-    x = np.frombuffer(b"".join(blobs), np.float64).reshape(len(blobs), -1)
-    return x / np.linalg.norm(x, axis=1, keepdims=True)
-
-
 def cells(unit: np.ndarray, pivots: np.ndarray, radius: float) -> tuple[np.ndarray, np.ndarray]:
     """Home cell of every row, and which cells each row belongs to (its own and those within the radius)."""
     squared = np.maximum(
@@ -86,6 +81,8 @@ def link(embeddings: DataFrame, threshold: float = 0.9, blocks: int = BLOCKS) ->
     """`vec_id, n_links, component_id, kept` of every row."""
     spark = embeddings.sparkSession
     ship_package(spark)
+    # single-precision input travels as it is; all arithmetic that decides is in double precision
+    kind = "<f4" if embeddings.schema["embedding"].dataType.simpleString() == "array<float>" else "<f8"
     good = "size(e) > 0 AND forall(e, v -> v IS NOT NULL AND NOT isnan(v) AND abs(v) < double('Infinity')) AND exists(e, v -> v <> 0)"
     rows = durable(
         embeddings.select(
@@ -107,7 +104,7 @@ def link(embeddings: DataFrame, threshold: float = 0.9, blocks: int = BLOCKS) ->
         sample[size] = (x / np.linalg.norm(x, axis=1, keepdims=True)) @ rotation(size)
     shared = spark.sparkContext.broadcast(sample)
 
-    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def placed(batches: Iterator[pa.RecordBatch], whole: bool) -> Iterator[pa.RecordBatch]:
         turns = {size: rotation(size) for size in shared.value}
         for batch in batches:
             lists = batch.column(1).to_pylist()
@@ -117,37 +114,36 @@ def link(embeddings: DataFrame, threshold: float = 0.9, blocks: int = BLOCKS) ->
                 at = np.flatnonzero(length == size)
                 x = np.array([lists[i] for i in at], float)
                 unit = (x / np.linalg.norm(x, axis=1, keepdims=True)) @ turns[size]
-                # the original components go along: what they were stored as is exact
-                blobs = [v.tobytes() for v in x]
+                blobs = [v.tobytes() for v in x.astype(kind)]
                 for b, part in enumerate(blocks_of(size, blocks)):
                     radius = float(np.sqrt(shares(size, threshold, blocks)[b]))
                     home, member = cells(unit[:, part], shared.value[size][:, part], radius)
                     who, cell = np.nonzero(member)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.full(len(who), size)), pa.array(np.full(len(who), b)), pa.array(cell),
-                            pa.array(home[who] == cell), pa.array(ids[at][who]), pa.array(copies[at][who]),
-                            pa.array([blobs[i] for i in who.tolist()], pa.binary()),
-                        ],
-                        ["size", "block", "cell", "home", "rid", "copies", "vector"],
-                    )
-
-    schema = "size long, block long, cell long, home boolean, rid long, copies long, vector binary"
-    members = distinct.select("rid", "e", "copies").mapInArrow(placed, schema)
-    members = durable(members, "cell-members")
-    chunks = members.groupBy("size", "block", "cell").agg(F.expr(f"CAST(ceil(count(*) / {CHUNK}) AS INT)").alias("chunks"))
-    # living vectors of a chunk meet all members of every chunk: (chunk of the living, chunk of the others)
-    chunk = F.expr("CAST(pmod(xxhash64(rid), chunks) AS INT)")
-    dealt = members.join(chunks, ["size", "block", "cell"]).withColumn("mine", chunk)
-    pairs = dealt.select("*", F.explode(F.expr("sequence(0, chunks - 1)")).alias("other"))
-    one = pairs.where("home").selectExpr("*", "mine AS lives", "other AS meets", "0 AS side")
-    two = pairs.selectExpr("*", "other AS lives", "mine AS meets", "1 AS side")
-    tasks = one.unionByName(two).selectExpr(
-        "xxhash64(size, block, cell, lives, meets) AS task", "size", "block", "side", "rid", "copies", "vector"
-    )
+                    place = [pa.array(np.full(len(who), size)), pa.array(np.full(len(who), b)), pa.array(cell), pa.array(home[who] == cell)]
+                    if whole:
+                        vectors = pa.array([blobs[i] for i in who.tolist()], pa.binary())
+                        place += [pa.array(ids[at][who]), pa.array(copies[at][who]), vectors]
+                    yield pa.RecordBatch.from_arrays(place, ["size", "block", "cell", "home", "rid", "copies", "vector"][: len(place)])
+
+    given = distinct.select("rid", "e", "copies")
+    place = "size long, block long, cell long, home boolean"
+    # cells are worked out twice: once to count them, once to send the vectors
+    counted = given.mapInArrow(lambda batches: placed(batches, False), place).groupBy("size", "block", "cell").agg(
+        F.expr(f"CAST(ceil(count_if(home) / {LIVES}) AS INT)").alias("living"), F.expr(f"CAST(ceil(count(*) / {MEETS}) AS INT)").alias("met")
+    )
+    chunks = durable(counted.where("living > 0"), "cell-sizes")
+    members = given.mapInArrow(lambda batches: placed(batches, True), place + ", rid long, copies long, vector binary")
+    # one row per cell: small beside the members, broadcast or not as its written size tells
+    dealt = members.join(chunks, ["size", "block", "cell"])
+    # living vectors of a chunk meet all members of every chunk
+    one = ("CAST(pmod(xxhash64(rid), living) AS INT) AS lives", "explode(sequence(0, met - 1)) AS meets", "0 AS side")
+    two = ("explode(sequence(0, living - 1)) AS lives", "CAST(pmod(xxhash64(rid), met) AS INT) AS meets", "1 AS side")
+    columns = ("size", "block", "cell", "rid", "copies", "vector")
+    sides = dealt.where("home").selectExpr(*columns, *one).unionByName(dealt.selectExpr(*columns, *two))
+    tasks = sides.selectExpr("xxhash64(size, block, cell, lives, meets) AS task", "size", "block", "side", "rid", "copies", "vector")
     found = (
         tasks.repartition("task").sortWithinPartitions("task", "side")
-        .mapInArrow(lambda batches: _meet(batches, threshold, blocks), "a long, b long, n long")
+        .mapInArrow(lambda batches: _meet(batches, threshold, blocks, kind), "a long, b long, n long")
     )
     found = durable(found, "vector-links")
     counts = found.where("b IS NULL").groupBy(F.col("a").alias("rid")).agg(F.sum("n").alias("others"))
@@ -166,7 +162,7 @@ def link(embeddings: DataFrame, threshold: float = 0.9, blocks: int = BLOCKS) ->
     )
 
 
-def _meet(batches: Iterator[pa.RecordBatch], threshold: float, blocks: int) -> Iterator[pa.RecordBatch]:
+def _meet(batches: Iterator[pa.RecordBatch], threshold: float, blocks: int, kind: str) -> Iterator[pa.RecordBatch]:
     """Counts (`a, null, n`) and joining links (`a, b, null`) of every task; its rows come one after another."""
     held: list[pa.RecordBatch] = []
     task = None
@@ -175,18 +171,18 @@ def _meet(batches: Iterator[pa.RecordBatch], threshold: float, blocks: int) -> I
         bounds = np.r_[0, np.flatnonzero(np.diff(marks)) + 1, len(marks)]
         for low, high in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
             if held and marks[low] != task:
-                yield _task_links(pa.Table.from_batches(held), threshold, blocks)
+                yield _task_links(pa.Table.from_batches(held), threshold, blocks, kind)
                 held = []
             task = marks[low]
             held.append(batch.slice(low, high - low))
     if held:
-        yield _task_links(pa.Table.from_batches(held), threshold, blocks)
+        yield _task_links(pa.Table.from_batches(held), threshold, blocks, kind)
 
 
-def _task_links(table: pa.Table, threshold: float, blocks: int) -> pa.RecordBatch:
+def _task_links(table: pa.Table, threshold: float, blocks: int, kind: str) -> pa.RecordBatch:
     block, side, rid, copies = (np.asarray(table.column(k)) for k in ("block", "side", "rid", "copies"))
     size = int(table.column("size")[0].as_py())
-    raw = np.frombuffer(b"".join(table.column("vector").to_pylist()), np.float64).reshape(-1, size)
+    raw = np.frombuffer(b"".join(table.column("vector").to_pylist()), kind).astype(np.float64).reshape(-1, size)
     unit = raw / np.linalg.norm(raw, axis=1, keepdims=True)
     turned = unit @ rotation(size)
     parts, limits = blocks_of(size, blocks), shares(size, threshold, blocks)

@@ -276,7 +276,8 @@ def expected_links(rows, threshold=0.9):
 @pytest.mark.parametrize(("size", "cell", "chunk"), [(16, 40, 16), (5, 10_000, 7), (1, 50, 50)])
 def test_vector_links(spark, monkeypatch, size, cell, chunk):
     monkeypatch.setattr(pigeonhole_join, "CELL", cell)
-    monkeypatch.setattr(pigeonhole_join, "CHUNK", chunk)
+    monkeypatch.setattr(pigeonhole_join, "LIVES", chunk)
+    monkeypatch.setattr(pigeonhole_join, "MEETS", 2 * chunk)
     rng = np.random.default_rng(size)
     centres = rng.normal(size=(12, size))
     rows = []
