@@ -131,7 +131,7 @@ def sql_email(x: str) -> str:
 
 
 def sql_capacity(x: str) -> str:
-    return f"CASE WHEN regexp_full_match({x}, '[0-9]+') THEN TRY_CAST({x} AS INTEGER) END"
+    return f"CASE WHEN regexp_full_match({x}, '[0-9]+') THEN TRY_CAST({x} AS BIGINT) END"
 
 
 def sql_domain(x: str) -> str:

@@ -71,7 +71,7 @@ def q_refine_lines(spark, sf):
 
 def site_documents(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "benchmark").select(
-        F.concat(F.lit("src"), F.col("item_id") % 20).alias("domain"), F.concat(F.lit("d"), "item_id", F.lit(".pdf")).alias("file"),
+        F.concat(F.lit("src"), F.col("item_id") % 22).alias("domain"), F.concat(F.lit("d"), "item_id", F.lit(".pdf")).alias("file"),
         F.col("item_id").alias("ord"), F.array(F.concat("text", F.lit("\n\n\n")), F.lit(""), F.col("text")).alias("pages"),
     )
 
@@ -81,11 +81,11 @@ def site_documents(spark: SparkSession, sf: str) -> DataFrame:
     f"""WITH {SQL_KEPT},
 blocks AS (SELECT domain, 0 AS part, ord, '--- Source: ' || file || ' ---' || chr(10) || string_agg(line, chr(10) ORDER BY n) || chr(10) || chr(10) AS block
   FROM kept GROUP BY domain, file, ord UNION ALL
-  SELECT 'src' || (item_id % 20), 1, item_id, chr(10) || '--- Source: d' || item_id || '.pdf (PDF) ---' || chr(10) || chr(10) ||
-    regexp_replace(text || repeat(chr(10), 4) || text, '\\n{{3,}}', chr(10) || chr(10), 'g') || chr(10) || chr(10) FROM benchmark),
+  SELECT 'src' || (item_id % 22), 1, item_id, chr(10) || '--- Source: d' || item_id || '.pdf (PDF) ---' || chr(10) || chr(10) ||
+    regexp_replace(text || repeat(chr(10), 4) || text, '\\n{{3,}}', chr(10) || chr(10), 'g') || chr(10) || chr(10) FROM benchmark WHERE 'src' || (item_id % 22) IN (SELECT domain FROM files)),
 bodies AS (SELECT domain, string_agg(block, chr(10) ORDER BY part, ord) AS body FROM blocks GROUP BY domain)
 SELECT domain, md5(CASE WHEN length(body) > 100000 THEN substr(body, 1, 100000) || chr(10) || '...[Truncated]...' ELSE body END) AS body_md5,
-  CAST(length(body) AS BIGINT) AS full_chars FROM bodies WHERE domain IN (SELECT domain FROM files)""",
+  CAST(length(body) AS BIGINT) AS full_chars FROM bodies""",
 )
 def q_refine_body(spark, sf):
     bodies = refine.site_bodies(files(spark, sf), site_documents(spark, sf))

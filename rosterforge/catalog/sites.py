@@ -73,7 +73,8 @@ def sql_decode(x: str) -> str:
 
 
 SQL_LINKS = rf"""visible AS (SELECT page_id, url, regexp_replace(html, '{_q(h.HIDDEN)}', '', 'g') AS shown FROM pages),
-anchors AS (SELECT page_id, url, regexp_extract_all(shown, '(?is)<a\s[^>]*?\bhref\s*=\s*"([^"]*)"', 1) AS found FROM visible),
+anchors AS (SELECT page_id, url, list_transform(regexp_extract_all(shown, '(?is)<a\s(?:[^>]*?[\s"''])?href\s*=\s*("[^"]*"|''[^'']*''|[^\s"''<>=`]+)', 1),
+  lambda h: regexp_replace(h, '^["'']|["'']$', '', 'g')) AS found FROM visible),
 hrefs AS (SELECT page_id, url, CAST(i AS INTEGER) AS ord, {sql_decode(b.sql_strip("found[i + 1]"))} AS href
   FROM (SELECT *, unnest(range(len(found))) AS i FROM anchors)),
 links AS (SELECT page_id, url, ord, href, CASE WHEN regexp_matches(href, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN href

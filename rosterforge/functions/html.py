@@ -24,6 +24,8 @@ BREAKING = (
     r"aside|form|blockquote|pre|dl|dt|dd|figure|figcaption|address|hr)\b)[^>]*>"
 )
 TAG = r"<[^>]*>"
+# a link's target in double, single or no quotes
+ANCHOR = r"(?is)<a\s(?:[^>]*?[\s\"'])?href\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'<>=`]+)"
 
 # main content candidates, in order: element name or id/class value
 CONTENT_ELEMENTS = ["main", "article"]
@@ -32,7 +34,13 @@ CONTENT_NAMES = ["content", "main"]
 # fixed values: character references decoded in text and attributes
 CHARACTER_REFERENCES = [
     ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
-    ("&nbsp;", " "), ("&amp;", "&"),
+    ("&nbsp;", " "), ("&copy;", "\u00a9"), ("&reg;", "\u00ae"), ("&trade;", "\u2122"), ("&middot;", "\u00b7"),
+    ("&bull;", "\u2022"), ("&hellip;", "\u2026"), ("&ndash;", "\u2013"), ("&mdash;", "\u2014"),
+    ("&lsquo;", "\u2018"), ("&rsquo;", "\u2019"), ("&ldquo;", "\u201c"), ("&rdquo;", "\u201d"),
+    ("&laquo;", "\u00ab"), ("&raquo;", "\u00bb"), ("&times;", "\u00d7"), ("&deg;", "\u00b0"), ("&euro;", "\u20ac"),
+    ("&pound;", "\u00a3"), ("&cent;", "\u00a2"), ("&yen;", "\u00a5"), ("&sect;", "\u00a7"), ("&para;", "\u00b6"),
+    ("&szlig;", "\u00df"), ("&auml;", "\u00e4"), ("&ouml;", "\u00f6"), ("&uuml;", "\u00fc"), ("&eacute;", "\u00e9"),
+    ("&egrave;", "\u00e8"), ("&agrave;", "\u00e0"), ("&ccedil;", "\u00e7"), ("&ntilde;", "\u00f1"), ("&amp;", "&"),
 ]
 
 
@@ -75,11 +83,12 @@ def body(html: Column) -> Column:
 
 def content_texts(shown: Column) -> Column:
     """Texts of the main-content candidates in their order, empty where absent."""
-    texts = [inner_text(element(shown, name)) for name in CONTENT_ELEMENTS]
+    found = [element(shown, name) for name in CONTENT_ELEMENTS]
     for value in CONTENT_NAMES:
-        texts.append(inner_text(named_element(shown, "id", value)))
-        texts.append(inner_text(named_element(shown, "class", value)))
-    return F.array(*texts)
+        found.append(named_element(shown, "id", value))
+        found.append(named_element(shown, "class", value))
+    # one lambda for all: six copies of the text rules outgrow compiled code
+    return F.transform(F.array(*found), inner_text)
 
 
 def chosen_text(texts: Column, shown: Column) -> Column:
@@ -90,14 +99,15 @@ def chosen_text(texts: Column, shown: Column) -> Column:
 
 def attribute(tag: Column, name: str) -> Column:
     """Raw value of a tag attribute, null where absent or empty."""
-    found = F.regexp_extract(tag, rf"(?is)[\s\"']{name}\s*=\s*([\"'])(.*?)\1", 2)
-    return F.nullif(found, F.lit(""))
+    quoted = F.regexp_extract(tag, rf"(?is)[\s\"']{name}\s*=\s*([\"'])(.*?)\1", 2)
+    bare = F.regexp_extract(tag, rf"(?is)[\s\"']{name}\s*=\s*([^\s\"'<>=`]+)", 1)
+    return F.coalesce(F.nullif(quoted, F.lit("")), F.nullif(bare, F.lit("")))
 
 
 def anchors(html: Column) -> Column:
     """`href` values of the page's links in page order."""
-    found = F.regexp_extract_all(visible(html), F.lit(r"(?is)<a\s[^>]*?\bhref\s*=\s*\"([^\"]*)\""), F.lit(1))
-    return F.transform(found, lambda h: decode(strip(h)))
+    targets = F.regexp_extract_all(visible(html), F.lit(ANCHOR), F.lit(1))
+    return F.transform(targets, lambda h: decode(strip(F.regexp_replace(h, r"^[\"']|[\"']$", ""))))
 
 
 def image_tags(html: Column) -> Column:

@@ -62,8 +62,9 @@ def normalize_email(raw: Column) -> Column:
 
 
 def parse_capacity(raw: Column) -> Column:
-    return F.when(raw.rlike(r"^[0-9]+\z"), raw.try_cast("int"))
+    return F.when(raw.rlike(r"^[0-9]+\z"), raw.try_cast("bigint"))
 
 
 def parse_coordinate(raw: Column) -> Column:
-    return F.coalesce(strip(raw).try_cast("double"), F.lit(0.0))
+    """Number of a coordinate; absent and empty ones are zero, unreadable ones null."""
+    return F.when(strip(raw) != "", strip(raw).try_cast("double")).otherwise(F.lit(0.0))

@@ -23,13 +23,11 @@ def strip_fence(reply: Column) -> Column:
 def is_json_object(text: Column) -> Column:
     """Whole text is one well-formed JSON object, whatever its fields.
 
-    The parser stops after the first value, so the text is also read as the
-    first of two array elements: nothing but space may follow the object.
+    Repeated keys (the last counts) and NaN are well-formed.  The text is read
+    as the first of two array elements: nothing but space may follow the object.
     """
-    alone = F.json_array_length(F.concat(F.lit("["), text, F.lit(",0]"))) == 2
-    return F.coalesce(
-        strip(text).startswith("{") & F.try_parse_json(text).isNotNull() & alone, F.lit(False)
-    )
+    pair = F.from_json(F.concat(F.lit("["), text, F.lit(",0]")), "array<string>", {"allowSingleQuotes": "false"})
+    return F.coalesce(strip(text).startswith("{") & (F.size(pair) == 2), F.lit(False))
 
 
 def parse_object(text: Column, schema: T.StructType | str) -> Column:

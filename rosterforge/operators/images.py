@@ -69,7 +69,7 @@ def rank_images(
     """
     groups = [keys] if isinstance(keys, str) else list(keys)
     valid = images.where(F.col("size_bytes") > fixed.RANK_MIN_BYTES)
-    unique = keep_first(valid, [*groups, "path"], [F.col("path"), F.col("vector").isNull()])
+    unique = keep_first(valid, [*groups, "path"], [F.col("path"), F.col("vector").isNull(), F.col("size_bytes").desc(), F.col("vector")])
     scored = score_images(unique.where(F.col("vector").isNotNull()), prompts, positive, total)
     return first_n_per(scored, groups, [F.col("score").desc(), F.col("path")], n)
 

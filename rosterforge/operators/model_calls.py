@@ -10,10 +10,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rosterforge import fixed, schemas
+from rosterforge.operators.ordering import keep_first
 from rosterforge.sources.registers import path_exists
 
-# prompt -> (reply text, input tokens, output tokens)
-ModelFunction = Callable[[str], tuple[str, int, int]]
+# prompt -> (reply text, input tokens, output tokens) or the same and the reply's sources, (uri, title) each
+ModelFunction = Callable[[str], tuple]
 
 
 def call_with_retry(fn: ModelFunction, prompt: str, tries: int, first_wait: float) -> tuple:
@@ -21,13 +22,14 @@ def call_with_retry(fn: ModelFunction, prompt: str, tries: int, first_wait: floa
     error = None
     for attempt in range(tries):
         try:
-            reply, used, made = fn(prompt)
-            return reply, int(used or 0), int(made or 0), None
+            reply, used, made, *sources = fn(prompt)
+            chunks = [{"uri": uri, "title": title} for uri, title in (sources[0] or [])] if sources else []
+            return reply, int(used or 0), int(made or 0), None, chunks
         except Exception as failure:  # noqa: BLE001 - whatever the caller's function raises
             error = str(failure) or type(failure).__name__
             if attempt + 1 < tries:
                 time.sleep(first_wait * 2**attempt)
-    return None, 0, 0, error
+    return None, 0, 0, error, []
 
 
 def apply_model(
@@ -47,7 +49,7 @@ def apply_model(
         fn = make_function()
         for batch in batches:
             answers = [call_with_retry(fn, p, tries, first_wait) for p in batch["prompt"]]
-            reply, used, made, error = zip(*answers) if answers else ((), (), (), ())
+            reply, used, made, error, chunks = zip(*answers) if answers else ((),) * 5
             yield pd.DataFrame(
                 {
                     "daycare_id": batch["daycare_id"],
@@ -57,6 +59,8 @@ def apply_model(
                     "input_tokens": list(used),
                     "output_tokens": list(made),
                     "error": list(error),
+                    "chunks": list(chunks),
+                    "called_at": pd.Timestamp.now(tz="UTC"),
                 }
             )
 
@@ -74,9 +78,10 @@ def missing_replies(prompts: DataFrame, stored: DataFrame, step: str) -> DataFra
 def run_model(
     prompts: DataFrame, make_function: Callable[[], ModelFunction], step: str, store: str, **settings
 ) -> DataFrame:
-    """Calls only what is missing, appends the replies to ``store``, returns them.
+    """Calls only what is missing, appends the replies to ``store``, returns one row per record.
 
-    Replies are written before anything reads them, so neither a later failure
+    Of several stored replies to one prompt a good one counts before a failed
+    one, then the newest.  Replies are written before anything reads them, so neither a later failure
     nor a second reader pays twice.
     """
     spark = prompts.sparkSession
@@ -86,4 +91,6 @@ def run_model(
     apply_model(todo, make_function, step, **settings).write.mode("append").parquet(store)
     keys = prompts.select("daycare_id", F.md5("prompt").alias("input_md5"))
     stored = spark.read.schema(schemas.MODEL_REPLY).parquet(store).where(F.col("step") == step)
-    return stored.join(keys, ["daycare_id", "input_md5"], "left_semi")
+    wanted = stored.join(keys, ["daycare_id", "input_md5"], "left_semi")
+    order = [F.col("error").isNotNull(), F.col("called_at").desc(), F.col("reply"), F.col("error")]
+    return keep_first(wanted, ["daycare_id", "step", "input_md5"], order)

@@ -26,6 +26,16 @@ def publish_reason(final: Column, crash: Column) -> Column:
     )
 
 
+# widths of the published numbers
+NUMBERS = {"review_score": "decimal(2,1)", "latitude": "decimal(10,7)", "longitude": "decimal(10,7)"}
+
+
+def number_reason(final: Column) -> Column:
+    """Reason of a record with a number that its published column cannot hold, else null."""
+    unfit = [final[c].isNotNull() & final[c].try_cast(kind).isNull() for c, kind in NUMBERS.items()]
+    return F.when(reduce(lambda a, b: a | b, unfit), "invalid_number")
+
+
 def review_is_valid(rating: Column) -> Column:
     return F.coalesce(rating.between(1, 5), F.lit(True))
 
@@ -63,9 +73,7 @@ def listing_rows(final: DataFrame, public_base: str = "") -> DataFrame:
         "is_internal": F.coalesce("is_internal", F.lit(False)),
         "website_active": F.coalesce("website_active", F.lit(True)),
         "country": F.coalesce("country", F.lit(fixed.COUNTRY)),
-        "review_score": F.col("review_score").cast("decimal(2,1)"),
-        "latitude": F.col("latitude").cast("decimal(10,7)"),
-        "longitude": F.col("longitude").cast("decimal(10,7)"),
+        **{c: F.col(c).try_cast(kind) for c, kind in NUMBERS.items()},
     }
     hidden = {"photos", "trust_score_explanation", "ranking_tier"}
     columns = [replaced.get(c, F.col(c)).alias(c) for c in fixed.FINAL_COLUMNS if c not in hidden]

@@ -142,7 +142,9 @@ def site_bodies(
     )
     if documents is not None:
         filled = F.filter("pages", lambda page: page != "")
-        extra = documents.where(F.size(filled) > 0).select(
+        # documents join the body of a site that has text files; alone they give none
+        texted = files.select("domain").distinct()
+        extra = documents.where(F.size(filled) > 0).join(texted, "domain", "left_semi").select(
             "domain", F.lit(1).alias("part"), "ord", _document_block(F.col("file"), filled).alias("block")
         )
         blocks = blocks.unionByName(extra)

@@ -24,6 +24,12 @@ def _null_text() -> Column:
     return F.lit(None).cast("string")
 
 
+def _coordinate(rows: DataFrame, raw: Column) -> Column:
+    """Null where the coordinate, or the whole line (`_broken` of a scan), cannot be read."""
+    value = reg.parse_coordinate(raw)
+    return F.when(~F.col("_broken"), value) if "_broken" in rows.columns else value
+
+
 def standardize_tx(raw: DataFrame) -> DataFrame:
     """Register with a Y/N status flag and a ready full address."""
     geo = F.col("location_address_geo")
@@ -44,8 +50,8 @@ def standardize_tx(raw: DataFrame) -> DataFrame:
             _filled("city").alias("city"),
             _filled("state").alias("state"),
             _filled("zipcode").alias("zip"),
-            reg.parse_coordinate(geo["latitude"]).alias("latitude"),
-            reg.parse_coordinate(geo["longitude"]).alias("longitude"),
+            _coordinate(raw, geo["latitude"]).alias("latitude"),
+            _coordinate(raw, geo["longitude"]).alias("longitude"),
         ).alias("address"),
         F.struct(
             reg.normalize_phone(F.col("phone_number")).alias("phone"),
@@ -85,8 +91,8 @@ def standardize_wa(raw: DataFrame) -> DataFrame:
             city.alias("city"),
             state.alias("state"),
             code.alias("zip"),
-            reg.parse_coordinate(F.col("physciallatitude")).alias("latitude"),
-            reg.parse_coordinate(F.col("physicallongitude")).alias("longitude"),
+            _coordinate(raw, F.col("physciallatitude")).alias("latitude"),
+            _coordinate(raw, F.col("physicallongitude")).alias("longitude"),
         ).alias("address"),
         F.struct(
             reg.normalize_phone(F.col("primarycontactphonenumber")).alias("phone"),
@@ -149,8 +155,11 @@ def rule_reason(where: LocationFilter | None = None) -> Column:
     unreachable = (
         tx.is_blank(contact["phone"]) & tx.is_blank(contact["email"]) & tx.is_blank(contact["website"])
     )
+    # a line that is no JSON object, or a coordinate that is no number
+    broken = address["latitude"].isNull() | address["longitude"].isNull()
     return (
-        F.when(F.col("type").isin(fixed.EXCLUDED_TYPES), "filtered_type")
+        F.when(broken, "processing_error")
+        .when(F.col("type").isin(fixed.EXCLUDED_TYPES), "filtered_type")
         .when(tx.contains_any(F.lower("name"), fixed.EXCLUDED_NAME_WORDS), "filtered_keyword")
         .when(F.col("capacity") == 0, "filtered_capacity")
         .when(unreachable, "filtered_contact")

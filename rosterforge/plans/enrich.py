@@ -127,8 +127,7 @@ def run(
         .alias("prompt"),
     )
     answers = model_calls.run_model(asked, research_function, fixed.RESEARCH_STEP, store, **settings)
-    no_chunks = F.array().cast("array<struct<uri:string,title:string>>")
-    research = synth.parse_research(answers.withColumn("chunks", no_chunks))
+    research = synth.parse_research(answers)
     joined = site.attach_sites(kept, sites).join(
         research.select(F.col("daycare_id").alias("id"), F.struct(*research.columns[1:]).alias("research")), "id", "left"
     )

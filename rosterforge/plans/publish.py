@@ -36,11 +36,16 @@ def build(
     """All tables of one run.  ``records`` brings `id` and `place`; ``limit``
     takes the first records before any of them is judged.
 
+    ``final`` may carry its rows' positions as `_ord`.
+
     Rows are judged before anything is written, so a bad row costs only
     itself; children of an unpublished listing are left out.
     """
     final = selection.first_rows(final, limit, "daycare_id")
-    reason = p.publish_reason(F.struct(*final.columns), F.lit(None).cast("string"))
+    if "_ord" in final.columns:  # of one id the last row wins
+        final = p.latest(final, ["daycare_id"], [F.col("_ord").desc()]).drop("_ord")
+    whole = F.struct(*final.columns)
+    reason = F.coalesce(p.publish_reason(whole, F.lit(None).cast("string")), p.number_reason(whole))
     judged = durable(final.withColumn("reason", reason), "final")
     good = judged.where(F.col("reason").isNull()).drop("reason")
     drops = judged.where(F.col("reason").isNotNull()).select(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rosterforge import schemas
 from rosterforge.operators import selection, unify
-from rosterforge.operators.publish import upsert
+from rosterforge.operators.publish import latest, upsert
 from rosterforge.operators.unify import LocationFilter
 from rosterforge.session import durable
 from rosterforge.sinks import versions
@@ -72,10 +72,11 @@ def run(
 
 
 def ingest(spark: SparkSession, kept: DataFrame, root: str, batch_id: str, fetched_at: str, dry_run: bool = False) -> DataFrame:
-    """Upserts kept rows into the ingestion table; a dry run only returns it."""
-    fresh = unify.ingestion_rows(kept, batch_id, fetched_at)
+    """Upserts kept rows into the ingestion table, of one id the last; a dry run only returns it."""
+    last = latest(kept, ["id"], [F.col("_ord").desc()]) if "_ord" in kept.columns else kept
+    fresh = unify.ingestion_rows(last, batch_id, fetched_at)
     table = versions.current(spark, root, fresh.schema)
-    result = upsert(table, fresh, ["daycare_id"], [F.col("original_record")])
+    result = upsert(table, fresh, ["daycare_id"], [F.col("original_record").desc()])
     if dry_run:
         return result
     return spark.read.schema(fresh.schema).parquet(versions.publish(result, root))

@@ -49,7 +49,7 @@ UNIFIED = struct(
     **strings("id", "source_state", "original_record", "name", "type", "status", "license_date"),
     address=ADDRESS,
     contact=CONTACT,
-    capacity=I,
+    capacity=L,
     ages_served=S,
     schedule=SCHEDULE,
 )
@@ -121,7 +121,8 @@ SYNTHESIS_REPLY = struct(
 )
 
 MODEL_REPLY = struct(
-    daycare_id=S, step=S, input_md5=S, reply=S, input_tokens=L, output_tokens=L, error=S
+    daycare_id=S, step=S, input_md5=S, reply=S, input_tokens=L, output_tokens=L, error=S,
+    chunks=T.ArrayType(struct(uri=S, title=S)), called_at=T.TimestampType(),
 )
 SITE_MANIFEST = struct(
     domain=S, root_url=S, timestamp=D, pages_crawled=I, pages_successful=I, assets_found=I, website_active=B

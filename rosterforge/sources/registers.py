@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rosterforge.functions.replies import is_json_object
 from rosterforge.operators.ordering import page_slice
 
 
@@ -43,8 +44,8 @@ def scan_register(
         )
         return (
             text.where(F.trim("_raw") != "")
-            .select("_raw", "_ord", F.from_json("_raw", schema).alias("r"))
-            .select("r.*", "_raw", "_ord")
+            .select(*_parsed(schema))
+            .select("r.*", "_raw", "_ord", "_broken")
         )
     elements = (
         spark.read.text(path, wholetext=True)
@@ -58,9 +59,15 @@ def scan_register(
             .alias("_ord"),
         )
     )
-    return elements.select(
-        F.from_json("_raw", schema).alias("r"), "_raw", "_ord"
-    ).select("r.*", "_raw", "_ord")
+    return elements.select(*_parsed(schema)).select("r.*", "_raw", "_ord", "_broken")
+
+
+def _parsed(schema: T.StructType) -> list[Column]:
+    """Fields of a raw line, and whether it is broken: no JSON object."""
+    good = is_json_object(F.col("_raw"))
+    return [
+        F.from_json("_raw", schema).alias("r"), F.col("_raw"), F.col("_ord"), (~good).alias("_broken"),
+    ]
 
 
 def scan_registers(

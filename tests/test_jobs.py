@@ -278,6 +278,15 @@ def test_model_replies_are_paid_once(spark, tmp_path):
     model_calls.run_model(prompts.where("prompt <> 'bad'"), make, "s", store, first_wait=0.0).collect()
     assert len(list(log.iterdir())) == 5
 
+    def mended():
+        return lambda prompt: (prompt.title(), 1, 1, [("http://s", "S")])
+
+    # the failed prompt is asked again; of its two stored rows the good one comes back, once
+    again = model_calls.run_model(prompts, mended, "s", store, first_wait=0.0).collect()
+    assert {(r["daycare_id"], r["reply"], r["error"]) for r in again} == {("1", "A", None), ("2", "Bad", None), ("3", "C", None)}
+    assert len(again) == 3
+    assert {r["daycare_id"]: [tuple(c) for c in r["chunks"]] for r in again} == {"1": [], "2": [("http://s", "S")], "3": []}
+
 
 def flow(spark, store):
     record = lambda i, **k: (f"TX-{i}", "TX", "r", f"Sun {i}", "Center", "Active", None, ("f", f"{i} A St", "Austin", "TX", "78701", 0.0, 0.0), ("512", None, k.get("web"), None), 10, None, (None, None), i)
@@ -452,3 +461,36 @@ def test_durable_folder_comes_from_the_session(spark):
     assert durable_dir(spark) == durable_dir(spark)
     assert registers.path_exists(spark, durable(spark.range(3), "x").inputFiles()[0])
     assert synth.tier_of is not None
+
+
+def test_broken_register_lines_are_processing_errors(spark, tmp_path):
+    from rosterforge.plans import unify
+
+    good = {"operation_id": "1", "operation_name": "sun", "operation_type": "Center", "operation_status": "Y",
+            "location_address": "1 A", "phone_number": "5125550100", "total_capacity": "99999999999"}
+    lines = [json.dumps(good), '{"operation_id": "2"', "[1]",
+             json.dumps(dict(good, operation_id="3", location_address="2 B", location_address_geo={"latitude": "north", "longitude": "1"}))]
+    (tmp_path / "tx.json").write_text("\n".join(lines))
+    result = unify.run(spark, {"TX": str(tmp_path / "tx.json")})
+    assert {r["reason"]: r["rows"] for r in result.counts.where("rows > 0").collect()} == {"processing_error": 3}
+    kept = result.kept.collect()
+    assert [(r["id"], r["capacity"]) for r in kept] == [("TX-1", 99999999999)]
+
+
+def test_last_row_of_a_batch_wins(spark, tmp_path):
+    from rosterforge.plans import unify
+
+    base = {"operation_id": "1", "operation_type": "Center", "operation_status": "Y", "phone_number": "5125550100"}
+    lines = [json.dumps(dict(base, operation_name=n, location_address=a)) for n, a in (("Alpha old", "1 A"), ("Zed newest", "2 B"))]
+    (tmp_path / "tx.json").write_text("\n".join(lines))
+    kept = unify.run(spark, {"TX": str(tmp_path / "tx.json")}).kept
+    assert [r["name"] for r in unify.ingest(spark, kept, str(tmp_path / "table"), "b", "t").collect()] == ["Zed Newest"]
+
+
+def test_links_in_every_quoting(spark):
+    from rosterforge.functions import html
+
+    page = """<a href="/a">1</a><A class=x HREF='/b?x=1&amp;y=2'>2</A><a data-href="/no" href=/c>3</a><a title="a>b" href=" /d ">4</a><a name=x>5</a>"""
+    row = spark.createDataFrame([(page, "<img data-src=x.png src=y.png alt='&copy; &middot; &eacute;'>")], "p string, i string")
+    got = row.select(html.anchors(F.col("p")).alias("a"), html.attribute(F.col("i"), "src").alias("s"), html.decode(F.col("i")).alias("d")).first()
+    assert got["a"][:3] == ["/a", "/b?x=1&y=2", "/c"] and got["s"] == "y.png" and "© · é" in got["d"]

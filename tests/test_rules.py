@@ -36,7 +36,7 @@ SINGLE = {
         ("1234567890", "1234567890"),
     ]),
     "email": (reg.normalize_email, [(" A@B.com ", "a@b.com"), ("a@b", None), (None, None), ("x.y@z", "x.y@z"), ("", None)]),
-    "capacity": (reg.parse_capacity, [("12", 12), ("0", 0), ("12.0", None), ("-5", None), (None, None), ("99999999999", None)]),
+    "capacity": (reg.parse_capacity, [("12", 12), ("0", 0), ("12.0", None), ("-5", None), (None, None), ("99999999999", 99999999999)]),
     "clean url": (u.clean_url, [("http://a/b?x=1#f", "http://a/b#f"), (None, None), ("http://a/b#f?x", "http://a/b#f?x")]),
     "domain": (u.site_domain, [("https://www.a.com/x", "a.com"), ("https://m.a.com", "m.a.com"), ("a.com", ""), ("http://www.www.b.c:80?x", "www.b.c:80")]),
     "asset kind": (u.asset_kind, [("http://a/B.PDF", "pdf"), ("a.jpeg", "image"), ("a.webp", "image"), ("a.html", None), ("a.pdf?x", None)]),
@@ -48,7 +48,7 @@ SINGLE = {
         ("View our menu today please", True), ("Cart (3)", True), ("COPYRIGHT 2020 x", True), ("copyright x", False), ("Log In", True), ("a plain line", False),
     ]),
     "fence": (rp.strip_fence, [("```json\n{}\n```", "\n{}\n"), ("```{}```", "{}"), (" {} ", "{}"), ("```json", ""), ("```", "")]),
-    "json object": (rp.is_json_object, [('{"a": 1}', True), ("{bad", False), ("[1]", False), ("", False), (None, False), ('{"a":1} x', False)]),
+    "json object": (rp.is_json_object, [('{"a": 1}', True), ("{bad", False), ('{"a": 1, "a": 2}', True), ('{"a": NaN}', True), ("{'a': 1}", False), ("[1]", False), ("", False), (None, False), ('{"a":1} x', False)]),
     "epoch": (rp.epoch_to_iso, [("1700000000", "2023-11-14T22:13:20"), ("0", None), ("x", None), (None, None), ("", None)]),
     "tier": (lambda x: synth.tier_of(x.cast("int")), [("90", "Top Rated"), ("85", "Top Rated"), ("84", "Verified"), ("70", "Verified"), ("50", "Standard"), ("49", "Needs Review")]),
 }
