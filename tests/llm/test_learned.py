@@ -198,3 +198,35 @@ def test_url_model(spark, url_model):
     assert url_filter.train(labelled.where("label = 0")).bias == -1.0
     plan = url_filter.judge(pages, url_model)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_vocabulary_grows_with_the_counted_words(spark):
+    counts = spark.range(5000).selectExpr("xxhash64(id) AS hash", "IF(id < 3000, 500L, 1L) AS n")
+    words = pseudo_likelihood.vocabulary(counts)
+    assert words.own == 3000 and len(np.unique(words.class_of)) == words.classes == 57
+    hashes = np.array([r["hash"] for r in counts.where("n = 500").collect()], np.int64).view(np.uint64)
+    assert sorted(words.encode(hashes).tolist()) == list(range(3000))
+    assert words.totals.sum() == 2000 and len(words.log_share) == words.edge + 1
+
+
+def test_words_in_shared_ids_have_their_own_probability(spark, docs_of):
+    often = [f"often{i}" for i in range(pseudo_likelihood.OWN_WORDS)]
+    names = [f"rare{i}" for i in range(400)]
+    data, offsets = texts_of(*names)
+    slot = word_hashes(data, *word_bounds(data, offsets)[:2]) % np.uint64(pseudo_likelihood.SHARED)
+    once, thrice, never = [names[i] for i in np.flatnonzero(slot == slot[0])[:3]]
+    body = " ".join(often * 5)
+    corpus = docs_of([(1, body), (2, f"often1 {once} often2"), *[(k, f"often1 {thrice} often2") for k in (3, 4, 5)], (6, "")])
+    found = {r["doc_id"]: r for r in pseudo_likelihood.score_corpus(corpus).collect()}
+    assert [found[k]["tokens"] for k in range(1, 7)] == [4800, 3, 3, 3, 3, 0] and found[6]["pseudo_log_likelihood"] == 0
+    value = lambda k: found[k]["pseudo_log_likelihood"]
+    assert abs(value(3) - value(2) - math.log(3)) < 1e-6 and value(3) == value(4) == value(5)
+    # the shares of an id's words and of all unseen ones add up to the id's probability
+    counts = pseudo_likelihood.count_words(corpus)
+    words = pseudo_likelihood.vocabulary(counts)
+    p = pseudo_likelihood.start(words)
+    asked = docs_of([(k, w) for k, w in enumerate((once, thrice, never))])
+    whole = pseudo_likelihood.score(asked, words, p).collect()
+    shares = {r["doc_id"]: r["pseudo_log_likelihood"] for r in pseudo_likelihood.score(asked, words, p, counts).collect()}
+    assert abs(sum(math.exp(v) for v in shares.values()) - math.exp(whole[0]["pseudo_log_likelihood"])) < 1e-9
+    assert abs(shares[2] - shares[0]) < 1e-9
