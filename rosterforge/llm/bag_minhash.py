@@ -16,13 +16,15 @@ however heavy its repetitions are.
 
 Links.  Documents with equal multisets are one class at once.  The others meet
 in 24 bands of 5 positions (a pair at 0.8 is missed with a chance below 1 in
-10,000).  In a band's bucket, candidates are first compared with one leader, the
+10,000); for a lower threshold the bands are shorter and more, to the same chance.
+In a band's bucket, candidates are first compared with one leader, the
 document that shares most buckets, so that a group of thousands of near copies
 costs one comparison each; links join components.  Where a bucket then still
 holds several components, those outside its largest are compared with all of
 the bucket in blocks, inside tasks that hold the members' signatures and whole
 multisets: pairs of different components whose signatures agree in 74 of 120
-positions or more (a pair at 0.8 has fewer with a chance of 1 in a million) are
+positions or more (a pair at 0.8 has fewer with a chance of 1 in a million; a
+lower threshold asks for fewer, to the same chance) are
 compared exactly, and only links that join components leave the task.  So a
 group of thousands of texts just below the threshold costs comparisons, but no
 rows.  Pairs already in one component need no comparison.
@@ -34,6 +36,7 @@ of a class stays (of repeated rows with that id, one); other columns play no par
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -136,16 +139,32 @@ def signatures(text: np.ndarray, shingle: np.ndarray, weight: np.ndarray, n: int
     return best.reshape(n, m)
 
 
-def band_keys(signature: np.ndarray) -> np.ndarray:
+def banding(threshold: float) -> tuple[int, int, int]:
+    """Bands, positions in a band, and the agreeing positions asked for, that keep the stated chances at `threshold`."""
+    if threshold >= THRESHOLD:
+        return BANDS, ROWS, AGREE
+    m = BANDS * ROWS
+    for rows in range(ROWS, 0, -1):
+        if m % rows == 0 and (1 - max(threshold, 0) ** rows) ** (m // rows) < 1e-4:
+            break
+    else:
+        raise ValueError(f"{m} positions cannot find pairs at a similarity of {threshold}")
+    fewer, agree = 0.0, 0
+    while (fewer := fewer + math.comb(m, agree) * threshold**agree * (1 - threshold) ** (m - agree)) <= 1e-6:
+        agree += 1
+    return m // rows, rows, min(agree, AGREE)
+
+
+def band_keys(signature: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
     """One 64-bit key per text and band; equal keys mean equal arrivals at all positions of the band."""
-    bits = signature.view(np.uint64).reshape(len(signature), BANDS, ROWS)
-    key = np.tile(mix(np.arange(BANDS, dtype=np.uint64) + np.uint64(99 << 40)), (len(signature), 1))
-    for i in range(ROWS):
+    bits = signature.view(np.uint64).reshape(len(signature), bands, rows)
+    key = np.tile(mix(np.arange(bands, dtype=np.uint64) + np.uint64(99 << 40)), (len(signature), 1))
+    for i in range(rows):
         key = mix(key ^ bits[:, :, i])
     return key
 
 
-def _bag_rows(batches: Iterator[pa.RecordBatch], with_bands: bool) -> Iterator[pa.RecordBatch]:
+def _bag_rows(batches: Iterator[pa.RecordBatch], with_bands: bool, n_bands: int = BANDS, rows: int = ROWS) -> Iterator[pa.RecordBatch]:
     uid = TaskContext.get().partitionId() << 40
     for batch in batches:
         nulls = batch.column(1).is_null().to_numpy(zero_copy_only=False)
@@ -162,7 +181,7 @@ def _bag_rows(batches: Iterator[pa.RecordBatch], with_bands: bool) -> Iterator[p
                 text, shingle, weight, elements = bags(made, counts[a:b])
                 if with_bands:
                     signed_ = signatures(text, shingle, weight, b - a)
-                    bands.append(band_keys(signed_))
+                    bands.append(band_keys(signed_, n_bands, rows))
                     # 32 bits of each arrival tell positions apart
                     sketches.append((mix(signed_.view(np.uint64)) >> np.uint64(32)).astype(np.uint32))
                 packed = np.ascontiguousarray(elements.view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
@@ -190,8 +209,8 @@ def _bag_rows(batches: Iterator[pa.RecordBatch], with_bands: bool) -> Iterator[p
                 columns.append(pa.array(counts))
                 keys = np.concatenate(bands).view(np.int64).reshape(-1)
                 # texts without shingles have no bands
-                there = np.where(counts > 0, BANDS, 0)
-                keys = keys[np.repeat(counts > 0, BANDS)]
+                there = np.where(counts > 0, n_bands, 0)
+                keys = keys[np.repeat(counts > 0, n_bands)]
                 columns.append(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(there)]), pa.int32()), pa.array(keys)))
                 columns.append(pa.array([x.tobytes() for x in np.concatenate(sketches)], pa.binary()))
                 names = ["uid", "doc_id", "text_hash", "bag1", "bag2", "n", "bands", "sketch"]
@@ -202,11 +221,11 @@ def _bag_rows(batches: Iterator[pa.RecordBatch], with_bands: bool) -> Iterator[p
             uid += n
 
 
-def signed(docs: DataFrame) -> DataFrame:
+def signed(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """One narrow row per document: its multiset's digest and size, and its band keys."""
     ship_package(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        lambda batches: _bag_rows(batches, True),
+        lambda batches: _bag_rows(batches, True, bands, rows),
         "uid long, doc_id long, text_hash long, bag1 long, bag2 long, n long, bands array<long>, sketch binary",
     )
 
@@ -268,7 +287,8 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     `class_id` is the smallest doc_id of the class: documents linked directly or
     through others by a similarity of `threshold` or more.
     """
-    rows = durable(signed(docs), "bag-signatures")
+    bands, size, _ = banding(threshold)
+    rows = durable(signed(docs, bands, size), "bag-signatures")
     same = rows.groupBy("bag1", "bag2").agg(F.min("uid").alias("rid"))
     members = durable(
         rows.select("uid", "doc_id", "text_hash", "bag1", "bag2").join(same, ["bag1", "bag2"])
@@ -372,6 +392,7 @@ def _joined(table: pa.Table, threshold: float) -> pa.RecordBatch:
         np.asarray(table.column(k)) for k in ("task", "key", "band", "rid", "root", "block", "across", "n")
     )
     sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint32).reshape(len(rid), -1)
+    bands, rows, least = banding(threshold)
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     for step in range(1, len(rid)):
         x = np.flatnonzero((task[step:] == task[:-step]) & (key[step:] == key[:-step]))
@@ -383,10 +404,10 @@ def _joined(table: pa.Table, threshold: float) -> pa.RecordBatch:
         x, y = x[fit], y[fit]
         same = sketch[x] == sketch[y]
         agree = same.sum(axis=1)
-        fit = agree >= AGREE
+        fit = agree >= least
         x, y, same, agree = x[fit], y[fit], same[fit], agree[fit]
         if len(x):
-            shared = same.reshape(len(x), BANDS, ROWS).all(axis=2).argmax(axis=1)
+            shared = same.reshape(len(x), bands, rows).all(axis=2).argmax(axis=1)
             fit = shared == band[x]  # a pair leaves only the first bucket it shares
             found.append((x[fit], y[fit], agree[fit]))
     x, y, agree = (np.concatenate(c) for c in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 3

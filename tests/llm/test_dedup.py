@@ -126,6 +126,29 @@ def test_near_classes_of_edited_groups(docs_of):
     check_classes(docs_of(rows), rows)
 
 
+def test_near_classes_at_a_lower_threshold(docs_of):
+    random.seed(6)
+    rows = []
+    for group in range(40):
+        base = [f"g{group}w{i}" for i in range(150)]
+        for copy in range(4):
+            words = list(base)
+            for i in random.sample(range(5, 145), 8 if copy else 0):
+                words[i] = f"g{group}c{copy}x{i}"
+            rows.append((len(rows) * 3 + 1, " ".join(words)))
+    found = bag_minhash.classes(docs_of(rows), 0.5).collect()
+    assert Counter((r["doc_id"], r["class_id"], r["class_size"]) for r in found) == expected_classes(rows, 0.5)[0]
+
+
+def test_banding_follows_the_threshold():
+    assert bag_minhash.banding(0.8) == bag_minhash.banding(0.95) == (24, 5, 74)
+    for threshold in (0.79, 0.7, 0.5, 0.3, 0.1):
+        bands, rows, agree = bag_minhash.banding(threshold)
+        assert bands * rows == 120 and (1 - threshold**rows) ** bands < 1e-4 and 0 <= agree < 120 * threshold
+    with pytest.raises(ValueError):
+        bag_minhash.banding(0.05)
+
+
 def test_signatures_estimate_weighted_jaccard():
     rng = np.random.default_rng(2)
     shared, own = mix(np.arange(300, dtype=np.uint64)), mix(np.arange(1000, 1100, dtype=np.uint64))
