@@ -8,10 +8,12 @@ from dataclasses import dataclass
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from rosterforge.llm import bag_minhash, chunk_dedup, language_id, pigeonhole_join, pseudo_likelihood, quality_mil, source_mix, ss_packing, token_files, url_filter
+from rosterforge.llm import bag_minhash, chunk_dedup, cross_tokens, language_id, pigeonhole_join, pseudo_likelihood, quality_mil, source_mix, ss_packing, token_files, url_filter
 from rosterforge.session import durable_path
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 @dataclass(frozen=True)
@@ -118,3 +120,8 @@ def pseudo_likelihood_scores(spark: SparkSession, sf: str) -> DataFrame:
 )
 def pigeonhole(spark: SparkSession, sf: str) -> DataFrame:
     return pigeonhole_join.link(table(spark, sf, "embeddings"))
+
+
+@query("op13_cross_tokens")
+def cross_tokenizer_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    return cross_tokens.link_scores(table(spark, sf, "documents"), BYTE_BPE, PIECES)
