@@ -8,7 +8,7 @@ from dataclasses import dataclass
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from rosterforge.llm import bag_minhash, chunk_dedup, cross_tokens, language_id, pigeonhole_join, pseudo_likelihood, quality_mil, source_mix, ss_packing, token_files, turn_repair, url_filter
+from rosterforge.llm import bag_minhash, chunk_dedup, cross_tokens, language_id, pigeonhole_join, pseudo_likelihood, quality_mil, repeat_spans, source_mix, ss_packing, token_files, turn_repair, url_filter
 from rosterforge.session import durable_path
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -127,6 +127,11 @@ def cross_tokenizer_alignment(spark: SparkSession, sf: str) -> DataFrame:
     return cross_tokens.link_scores(table(spark, sf, "documents"), BYTE_BPE, PIECES)
 
 
+@query("op11_repeat_spans")
+def repeated_spans(spark: SparkSession, sf: str) -> DataFrame:
+    return repeat_spans.removed(table(spark, sf, "documents"))
+
+
 @query("op12_turn_repair")
 def conversation_repair(spark: SparkSession, sf: str) -> DataFrame:
     given = table(spark, sf, "conversations")
