@@ -161,14 +161,16 @@ def _repeated(docs: DataFrame, min_bytes: int) -> DataFrame:
     """Anchors seen twice or more; `n`: places with this context, `mixed`: the anchor has other contexts too, `sent`: the place that stands for its context."""
     every = _anchors(docs, min_bytes)
     seen = every.groupBy("h").agg(F.count("*").alias("_n"), F.min("c").alias("_low"), F.max("c").alias("_high")).where("_n > 1")
-    rows = durable(every.join(seen.selectExpr("h", "_low <> _high AS mixed"), "h"), "repeat-places")
+    # written, so that each join reads both sides from shuffles of their own, which Spark can split at a hot key
+    seen = durable(seen.selectExpr("h", "_low <> _high AS mixed"), "repeat-seen")
+    rows = durable(every.join(seen, "h"), "repeat-places")
     who = F.xxhash64("doc", "text_hash", "lo")
     kinds = rows.groupBy("h", "c").agg(
         F.count("*").alias("n"), F.min(who).alias("_who"), F.min("left").alias("_low"), F.max("left").alias("_high")
     )
     # two documents' beginnings differ
     side = F.when((F.col("n") > 1) & ((F.col("_low") < F.col("_high")) | (F.col("_low") == START)), MANY).otherwise(F.col("_low"))
-    kinds = kinds.select("h", "c", "n", "_who", side.alias("_side"))
+    kinds = durable(kinds.select("h", "c", "n", "_who", side.alias("_side")), "repeat-kinds")
     return rows.join(kinds, ["h", "c"]).select(
         *KEY, "lo", "span", "rel", F.col("_side").alias("left"), "h", "c", "n", "mixed",
         (F.col("mixed") & (who == F.col("_who"))).alias("sent"),
@@ -237,7 +239,7 @@ def _shared(docs: DataFrame, repeated: DataFrame, min_bytes: int) -> DataFrame:
         yield from _rows(made, SHARED)
 
     place = F.struct("lo", "span", "rel", "left", "h", "c", "n", "mixed", "sent")
-    lists = repeated.groupBy(*KEY).agg(F.collect_list(place).alias("places"))
+    lists = durable(repeated.groupBy(*KEY).agg(F.collect_list(place).alias("places")), "repeat-lists")
     met = _keyed(docs, "doc_id").join(lists, KEY, "left").select(F.col("doc_id").cast("long"), *KEY, "text", "places")
     path = durable_path(docs.sparkSession, "repeat-texts")
     met.mapInArrow(split, SHARED).write.option("compression", "zstd").partitionBy("kind").parquet(path)
@@ -433,10 +435,10 @@ def _hot_members(contexts: DataFrame, min_bytes: int) -> DataFrame:
 
     blocks = durable(contexts.mapInArrow(cut, BLOCKS), "repeat-blocks")
     met = blocks.groupBy("core").agg(F.sum("n").alias("_n"), F.min("whole").alias("_low"), F.max("whole").alias("_high"))
-    found = blocks.join(met.where("_n > 1").selectExpr("core", "_low = _high AS alike"), "core")
+    found = blocks.join(durable(met.where("_n > 1").selectExpr("core", "_low = _high AS alike"), "repeat-cores"), "core")
     parts = found.where("NOT alike").groupBy("h", "c").agg(F.collect_list(F.struct("at", "wide")).alias("parts"))
     single = durable(contexts.join(parts, ["h", "c"]).mapInArrow(strings, STRINGS), "repeat-strings")
-    often = single.groupBy("string").agg(F.sum("n").alias("_n")).where("_n > 1").select("string")
+    often = durable(single.groupBy("string").agg(F.sum("n").alias("_n")).where("_n > 1").select("string"), "repeat-often")
     names = ["h", "c", "n", "doc", "text_hash", "lo", "at"]
     whole = found.where("alike").select(F.hex("core").alias("grp"), (F.col("wide") + min_bytes).alias("n_bytes"), *names)
     alone = single.join(often, "string").select(F.hex("string").alias("grp"), F.lit(min_bytes).alias("n_bytes"), *names)
