@@ -11,8 +11,9 @@ deduplicated by identifier (map-side first, so a passage that a third of the
 documents share costs one row per task) and each identifier is verified: it
 must stand for one chunk only, told by 128 more bits of the digest.  Documents
 with an identifier that fails compare by whole digests instead.  Equal ordered
-lists are equal documents; the SHA-256 of the whole text, made in the same
-pass, confirms each group.
+lists are equal documents: recipes alone make the groups.  The SHA-256 of the
+whole text, made in the same pass, confirms each group; one it does not confirm
+is split by it.
 
 Defined cases: a null text is an empty text, and all empty texts are equal; of
 a group the largest doc_id stays (null is smallest); of rows that repeat both
@@ -144,16 +145,30 @@ def verify(made: DataFrame) -> DataFrame:
 
 def decide(docs: DataFrame, mean: int = 1024, id_bits: int = 64) -> DataFrame:
     """`doc_id, keep_id, group_size, kept, text_sha256, text_hash, uid` of every document."""
-    made = verify(durable(recipes(docs, mean, id_bits), "chunk-recipes"))
-    rows = made.select("uid", "doc_id", "text_hash", "text_sha256", "recipe")
-    groups = rows.groupBy("recipe", "text_sha256").agg(
-        F.max("doc_id").alias("keep_id"),
-        F.count("*").alias("group_size"),
-        F.max_by("uid", F.coalesce("doc_id", F.lit(-(1 << 63)))).alias("keep_uid"),
-    )
-    return rows.join(groups, ["text_sha256", "recipe"]).select(
-        "doc_id", "keep_id", "group_size", (F.col("uid") == F.col("keep_uid")).alias("kept"), "text_sha256", "text_hash", "uid"
-    )
+    return grouped(verify(durable(recipes(docs, mean, id_bits), "chunk-recipes")))
+
+
+def grouped(made: DataFrame) -> DataFrame:
+    """Documents of one recipe are one group; the digests of its whole texts confirm it, or else split it."""
+    rows = made.select("uid", "doc_id", "text_hash", "text_sha256", "recipe", F.xxhash64("text_sha256").alias("_digest"))
+
+    def decided(*key: str) -> DataFrame:
+        return rows.groupBy(*key).agg(
+            F.max("doc_id").alias("keep_id"),
+            F.count("*").alias("group_size"),
+            F.max_by("uid", F.coalesce("doc_id", F.lit(-(1 << 63)))).alias("keep_uid"),
+            F.min("_digest").alias("_low"),
+            F.max("_digest").alias("_high"),
+        )
+
+    kept = ["doc_id", "keep_id", "group_size", (F.col("uid") == F.col("keep_uid")).alias("kept"), "text_sha256", "text_hash", "uid"]
+    groups = durable(decided("recipe"), "chunk-groups")
+    found = rows.join(groups.where("_low = _high"), "recipe").select(*kept)
+    unequal = groups.where("_low <> _high").select("recipe")
+    if unequal.isEmpty():
+        return found
+    split = decided("recipe", "_digest").join(unequal, "recipe", "left_semi").drop("_low", "_high")
+    return found.unionByName(rows.join(split, ["recipe", "_digest"]).select(*kept))
 
 
 def unique(docs: DataFrame) -> DataFrame:

@@ -7,6 +7,8 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from rosterforge.llm import bag_minhash, chunk_dedup
 from rosterforge.llm.arrow_text import mix
 from tests.llm.conftest import ODD_ROWS
@@ -40,6 +42,18 @@ def test_exact_groups(odd, id_bits):
     assert found == expected_exact([r[:2] for r in ODD_ROWS])
 
 
+def test_recipes_make_the_groups_and_digests_split_wrong_ones(odd):
+    made = chunk_dedup.verify(chunk_dedup.recipes(odd, mean=64)).cache()
+    # without a digest that tells them apart, the same groups
+    blind = chunk_dedup.grouped(made.withColumn("text_sha256", F.lit("x"))).collect()
+    found = Counter((r["doc_id"], r["keep_id"], r["group_size"], r["kept"]) for r in blind)
+    assert found == Counter(k[:4] for k in expected_exact([r[:2] for r in ODD_ROWS]).elements())
+    # with one recipe for all, digests alone
+    rows = chunk_dedup.grouped(made.withColumn("recipe", F.array(F.lit(1).cast("long")))).collect()
+    found = Counter((r["doc_id"], r["keep_id"], r["group_size"], r["kept"], r["text_sha256"]) for r in rows)
+    assert found == expected_exact([r[:2] for r in ODD_ROWS])
+
+
 def test_exact_rows(odd, empty):
     kept = chunk_dedup.unique(odd)
     assert kept.schema == odd.schema
