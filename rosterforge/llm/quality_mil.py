@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rosterforge.llm.arrow_text import column_bytes, mix, slices, word_bounds, word_hashes
+from rosterforge.llm.rows import quoted
 from rosterforge.session import ship_package
 
 PASSAGE_WORDS = 64
@@ -291,14 +292,16 @@ def reject(docs: DataFrame, labels: DataFrame, **bounds: int) -> DataFrame:
     model = train(docs, labels, **bounds)
     ship_package(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    at = docs.columns.index("text")
+    names = docs.columns
+    at = names.index("text")
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for packed in batches:
+            batch = pa.RecordBatch.from_arrays(packed.column(0).flatten(), names)
             data, offsets = column_bytes(batch.column(at))
             for low, high in slices(offsets, 4 << 20):
                 features, starts = encode(data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low])
                 good = pa.array(shared.value.score(features, starts) >= 0.5)
                 yield batch.slice(low, high - low).filter(good)
 
-    return docs.mapInArrow(kept, docs.schema)
+    return docs.select(F.struct(*[quoted(c) for c in names]).alias("row")).mapInArrow(kept, docs.schema)

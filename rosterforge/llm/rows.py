@@ -14,10 +14,15 @@ def keep_rows(docs: DataFrame, kept: DataFrame) -> DataFrame:
     the shuffle) and the join need the same partitioning.
     """
     columns = docs.columns
-    own = numbered(docs, F.struct(*[docs[c] for c in columns]).alias("_row")).where("_n = 1")
+    own = numbered(docs, F.struct(*[quoted(c) for c in columns]).alias("_row")).where("_n = 1")
     return own.join(wanted(kept), KEY, "left_semi").select("_row.*")
 
 
+def quoted(name: str) -> Column:
+    """The column of this very name, whatever signs it holds."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 # A null id is told by a column of its own: plain equalities let the join reuse the numbering's shuffle.
 KEY = ["_id", "_no_id", "_hash"]
 

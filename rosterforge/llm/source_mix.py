@@ -3,11 +3,10 @@
 Every source is a stream of words: its documents in an order given by a hash of
 their ids.  The stream is cut into blocks of `block` words.  The mix has as many
 slots as all words fill blocks, in output shards of `shard_slots`.  Each shard
-draws how many of its slots every source gets: the whole part of its share at
-once, the rest by a multinomial draw over the fractions (seeded by the shard's
-number, so reruns and lost executors draw the same), which keeps a source's
-total within a few slots of its target however few shards there are.  What the
-draws leave of a target goes to one last shard; what they exceed it by is empty.
+draws how many of its slots every source gets by one multinomial draw over all
+its slots (seeded by the shard's number, so reruns and lost executors draw the
+same).  What the draws leave of a target goes to one last shard; slots by which
+they exceed it stay empty, so every source gives its target to the word.
 
 The j-th slot of a source reads pass j // blocks of its stream, at the block that
 the pass's own pseudorandom permutation (a Feistel network walked into range)
@@ -39,6 +38,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rosterforge.llm.arrow_text import mix, word_bounds
+from rosterforge.llm.rows import quoted
 from rosterforge.session import durable, ship_package
 
 MOST_PASSES = 3
@@ -122,14 +122,9 @@ def streams(narrow: DataFrame) -> DataFrame:
 
 
 def draw(shard: int, slots: int, share: np.ndarray, seed: int) -> np.ndarray:
-    """How many of a shard's slots each source gets: whole parts, then a multinomial draw over the fractions."""
-    expected = share * slots
-    counts = np.floor(expected).astype(np.int64)
-    rest = slots - int(counts.sum())
-    fraction = expected - counts
-    if rest > 0 and fraction.sum() > 0:
-        counts += np.random.default_rng([seed, shard]).multinomial(rest, fraction / fraction.sum())
-    return counts
+    """How many of a shard's slots each source gets: one multinomial draw over all its slots."""
+    # a hair below one in sum, so that rounding over many sources never makes it more
+    return np.random.default_rng([seed, shard]).multinomial(slots, share * (1 - 1e-11))
 
 
 def permuted(index: np.ndarray, n: np.ndarray, key: np.ndarray) -> np.ndarray:
@@ -252,7 +247,7 @@ def plan(
     rows = known.orderBy("source_no").select("target", "source_size").collect()  # at most most_sources rows of two numbers
     shares = Shares(np.array([r[0] for r in rows], float), np.array([r[1] for r in rows], np.int64))
     numbered = narrow.join(
-        F.broadcast(known.select(F.col("source").alias("_source"), "source_no", "source_size", "target")),
+        known.select(F.col("source").alias("_source"), "source_no", "source_size", "target"),
         F.col("source").eqNullSafe(F.col("_source")),
     ).drop("_source")
     placed = durable(streams(numbered), "mix-streams")
@@ -305,7 +300,7 @@ def apply(docs: DataFrame, **options: int) -> DataFrame:
     is one, follows the text.
     """
     names = docs.columns
-    row = F.struct(*[docs[c] for c in names])
+    row = F.struct(*[quoted(c) for c in names])
     own = durable(docs.select(F.monotonically_increasing_id().alias("uid"), row.alias("row")), "mix-rows")
     inner = own.select("uid", "row.doc_id", "row.text", "row.source")
     made = plan(inner, uid=F.col("uid"), **options)
