@@ -7,8 +7,8 @@ of windows filled to `h`: opening a window, raising one from `h` to `h + r`, or
 filling one up.  The rule keeps levels that complete each other in stock, so
 nearly all windows fill up without cutting a document again.
 
-The windows still open at the end of a task (or when `most_open` of them are
-held, which bounds memory) are poured into each other, cutting documents where
+The windows still open at the end of a task (or when they hold `most_open_bytes`
+of ids, which bounds memory) are poured into each other, cutting documents where
 windows end; the very last remainder becomes sequences of powers of two, which
 need no padding.  So no sequence is padded at all.
 
@@ -31,11 +31,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rosterforge.llm.arrow_text import column_bytes
 from rosterforge.llm.word_tokens import loaded
 from rosterforge.session import ship_package
 
 WINDOW = 4096
 END_ID = 2
+MOST_OPEN_BYTES = 16 << 20
 
 # document, start in it, its ids as bytes, tokens of the document
 Piece = tuple[object, int, bytes, int]
@@ -44,11 +46,11 @@ Piece = tuple[object, int, bytes, int]
 class Packer:
     """Windows of one task; `done` gathers the closed ones as lists of pieces."""
 
-    def __init__(self, window: int = WINDOW, most_open: int = 4096) -> None:
-        self.window, self.most_open = window, most_open
+    def __init__(self, window: int = WINDOW, most_open_bytes: int = MOST_OPEN_BYTES) -> None:
+        self.window, self.most_open_bytes = window, most_open_bytes
         self.counts = np.zeros(window + 1, np.int64)  # the level array; level 0 and the full level stay 0
         self.open: dict[int, list[list[Piece]]] = {}
-        self.held = 0
+        self.held = 0  # bytes of ids in open windows
         self.done: list[list[Piece]] = []
 
     def level_for(self, size: int) -> int:
@@ -77,15 +79,15 @@ class Packer:
         if level:
             pieces = self.open[level].pop()
             self.counts[level] -= 1
-            self.held -= 1
+            self.held -= 4 * level
         pieces.append((doc_id, whole // 4, rest, total))
         if level + size == self.window:
             self.done.append(pieces)
             return
         self.open.setdefault(level + size, []).append(pieces)
         self.counts[level + size] += 1
-        self.held += 1
-        if self.held > self.most_open:
+        self.held += 4 * (level + size)
+        if self.held > self.most_open_bytes:
             self.pour(last=False)
 
     def pour(self, last: bool) -> None:
@@ -111,7 +113,7 @@ class Packer:
         if not last:
             self.open[filled] = [window]
             self.counts[filled] = 1
-            self.held = 1
+            self.held = 4 * filled
             return
         pieces = iter(window)
         piece = next(pieces)
@@ -133,14 +135,15 @@ class Packer:
 
 
 def pack(
-    docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int = END_ID, with_ids: bool = True, most_open: int = 4096
+    docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int = END_ID, with_ids: bool = True,
+    most_open_bytes: int = MOST_OPEN_BYTES,
 ) -> DataFrame:
     """One row per piece: where it lies in its document and in its sequence, its checksum and, if wanted, its ids."""
     ship_package(docs.sparkSession)
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = loaded(tokenizer)
-        packer = Packer(window, most_open)
+        packer = Packer(window, most_open_bytes)
         end = end_id.to_bytes(4, "little")
         sequence = TaskContext.get().partitionId() << 32
 
@@ -166,9 +169,10 @@ def pack(
             return pa.RecordBatch.from_arrays(arrays, names)
 
         for batch in batches:
-            ids_of = batch.column(0).to_pylist()
-            for doc_id, text in zip(ids_of, batch.column(1), strict=True):
-                packer.add(doc_id, words.encode((text.as_py() or "").encode()) + end)
+            data, offsets = column_bytes(batch.column(1))
+            bounds = offsets.tolist()
+            for doc_id, low, high in zip(batch.column(0).to_pylist(), bounds[:-1], bounds[1:], strict=True):
+                packer.add(doc_id, words.encode(data[low:high].tobytes()) + end)
                 if len(packer.done) >= (256 if with_ids else 8192):
                     yield rows()
         packer.pour(last=True)

@@ -5,7 +5,8 @@ one of `word_bpe_49k.json` drops white space), a text's ids are those of its
 whitespace-separated parts one after another.  The library's normaliser,
 pre-tokenizer and model see every distinct part once per worker; texts are
 joined from the kept ids, as bytes of little-endian unsigned 32-bit numbers.
-What is kept is bounded.
+What is kept is bounded by bytes, in two generations: a part that is met again
+moves to the young one; when that is full, the old one is dropped.
 
 Most parts are a run of Latin letters and perhaps a run of signs.  Where the
 loaded tokenizer is seen to treat those as two pieces (it is tried on examples
@@ -21,7 +22,8 @@ from array import array
 
 import numpy as np
 
-MOST_WORDS = 1_200_000
+MOST_BYTES = 96 << 20
+ENTRY_BYTES = 170  # two byte strings and their place in a table, without their contents
 # letters of ASCII and of the Latin-1 block in UTF-8, then signs that are neither letters, digits nor apostrophes
 _PLAIN = re.compile(rb"((?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!-&(-/:-@\[-`{-~]*)")
 _LATIN = "".join(chr(c) for c in range(0xC0, 0x100) if c not in (0xD7, 0xF7))
@@ -31,13 +33,15 @@ _LOADED: dict[str, WordTokens] = {}
 
 
 class WordTokens:
-    def __init__(self, path: str, most_words: int = MOST_WORDS) -> None:
+    def __init__(self, path: str, most_bytes: int = MOST_BYTES) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.most_words = most_words
+        self.most_bytes = most_bytes
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        self.held = 0  # bytes of the young generation
         self.pieces: dict[str | bytes, bytes] = {}
         self.spelled: dict[int, str] | None = None
         self._try_plain()
@@ -62,6 +66,7 @@ class WordTokens:
         if known is None:
             found = self.tokenizer.model.tokenize(piece.decode().translate(self.spelled))
             known = self.pieces[piece] = _bytes([t.id for t in found])
+            self.held += ENTRY_BYTES + len(piece) + len(known)
         return known
 
     def _plain(self, word: bytes) -> bytes | None:
@@ -74,17 +79,23 @@ class WordTokens:
     def encode(self, text: bytes) -> bytes:
         # special tokens are told by their exact case; elsewhere A-Z and a-z give the same ids
         parts = (text if b"<|" in text else text.lower()).split()
-        fresh = set(parts).difference(self.known)
+        found, older = self.known, self.older
+        fresh = set(parts).difference(found)
         if fresh:
-            self.learn(list(fresh))
-        found = self.known
+            again = fresh.intersection(older)
+            for part in again:
+                found[part] = older.pop(part)
+            self.learn(list(fresh.difference(again)))
+            self.held += sum([len(p) + len(found[p]) for p in fresh]) + ENTRY_BYTES * len(fresh)
         out = b"".join([found[p] for p in parts])
-        if len(found) > self.most_words:
-            found.clear()
+        if 2 * self.held > self.most_bytes:
+            self.known, self.older, self.held = {}, found, 0
             self.pieces.clear()
         return out
 
     def learn(self, words: list[bytes]) -> None:
+        if not words:
+            return
         if self.spelled is not None:
             rest = []
             for word in words:
@@ -119,6 +130,7 @@ class WordTokens:
             known = pieces.get(piece)
             if known is None:
                 known = pieces[piece] = _bytes([t.id for t in model.tokenize(piece)])
+                self.held += ENTRY_BYTES + len(piece) + len(known)
             ids[i].append(known)
         self.known.update(zip(words, [b"".join(x) for x in ids], strict=True))
 
