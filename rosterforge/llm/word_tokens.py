@@ -82,7 +82,7 @@ class WordTokens:
         found, older = self.known, self.older
         fresh = set(parts).difference(found)
         if fresh:
-            again = fresh.intersection(older)
+            again = [p for p in fresh if p in older]
             for part in again:
                 found[part] = older.pop(part)
             self.learn(list(fresh.difference(again)))
