@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rosterforge.llm.arrow_text import column_bytes
-from rosterforge.llm.word_tokens import loaded
+from rosterforge.llm.word_tokens import MOST_BYTES, loaded
 from rosterforge.session import ship_package
 
 WINDOW = 4096
@@ -136,13 +136,16 @@ class Packer:
 
 def pack(
     docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int = END_ID, with_ids: bool = True,
-    most_open_bytes: int = MOST_OPEN_BYTES,
+    most_open_bytes: int = MOST_OPEN_BYTES, cache_bytes: int = MOST_BYTES,
 ) -> DataFrame:
-    """One row per piece: where it lies in its document and in its sequence, its checksum and, if wanted, its ids."""
+    """One row per piece: where it lies in its document and in its sequence, its checksum and, if wanted, its ids.
+
+    `cache_bytes` bounds what a worker keeps of known words.
+    """
     ship_package(docs.sparkSession)
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = loaded(tokenizer)
+        words = loaded(tokenizer, cache_bytes)
         packer = Packer(window, most_open_bytes)
         end = end_id.to_bytes(4, "little")
         sequence = TaskContext.get().partitionId() << 32

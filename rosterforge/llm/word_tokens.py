@@ -22,14 +22,14 @@ from array import array
 
 import numpy as np
 
-MOST_BYTES = 96 << 20
+MOST_BYTES = 256 << 20
 ENTRY_BYTES = 170  # two byte strings and their place in a table, without their contents
 # letters of ASCII and of the Latin-1 block in UTF-8, then signs that are neither letters, digits nor apostrophes
 _PLAIN = re.compile(rb"((?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!-&(-/:-@\[-`{-~]*)")
 _LATIN = "".join(chr(c) for c in range(0xC0, 0x100) if c not in (0xD7, 0xF7))
 _EXAMPLES = [b"the", b"thndhain***", b"it.", b"gr\xc3\xb6\xc3\x9fe,!!", b"\xc3\x89au\xc3\xaa|", _LATIN.encode() + b"&&&", b"a$$$", b"zzz%%%@"]
 _OTHER_SPACE = re.compile(r"[^\S ]")
-_LOADED: dict[str, WordTokens] = {}
+_LOADED: dict[tuple[str, int], WordTokens] = {}
 
 
 class WordTokens:
@@ -42,7 +42,7 @@ class WordTokens:
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
         self.held = 0  # bytes of the young generation
-        self.pieces: dict[str | bytes, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
         self.spelled: dict[int, str] | None = None
         self._try_plain()
 
@@ -59,15 +59,24 @@ class WordTokens:
             if self._plain(example) != _bytes(self.tokenizer.encode(example.decode(), add_special_tokens=False).ids):
                 self.spelled = None
                 break
-        self.pieces.clear()
+        self.known.clear()
+        self.held = 0
+
+    def _keep(self, word: bytes, ids: bytes) -> bytes:
+        if word not in self.known:
+            self.held += ENTRY_BYTES + len(word) + len(ids)
+            self.known[word] = ids
+        return ids
 
     def _piece(self, piece: bytes) -> bytes:
-        known = self.pieces.get(piece)
-        if known is None:
-            found = self.tokenizer.model.tokenize(piece.decode().translate(self.spelled))
-            known = self.pieces[piece] = _bytes([t.id for t in found])
-            self.held += ENTRY_BYTES + len(piece) + len(known)
-        return known
+        """Ids of letters or of signs only, which are words of their own too."""
+        ids = self.known.get(piece)
+        if ids is None:
+            ids = self.older.get(piece)
+            if ids is None:
+                ids = _bytes([t.id for t in self.tokenizer.model.tokenize(piece.decode().translate(self.spelled))])
+            self._keep(piece, ids)
+        return ids
 
     def _plain(self, word: bytes) -> bytes | None:
         parts = _PLAIN.fullmatch(word)
@@ -84,9 +93,8 @@ class WordTokens:
         if fresh:
             again = [p for p in fresh if p in older]
             for part in again:
-                found[part] = older.pop(part)
+                self._keep(part, older.pop(part))
             self.learn(list(fresh.difference(again)))
-            self.held += sum([len(p) + len(found[p]) for p in fresh]) + ENTRY_BYTES * len(fresh)
         out = b"".join([found[p] for p in parts])
         if 2 * self.held > self.most_bytes:
             self.known, self.older, self.held = {}, found, 0
@@ -103,7 +111,7 @@ class WordTokens:
                 if ids is None:
                     rest.append(word)
                 else:
-                    self.known[word] = ids
+                    self._keep(word, ids)
             words = rest
             if not words:
                 return
@@ -118,7 +126,7 @@ class WordTokens:
         normal = self.tokenizer.normalizer.normalize_str(" ".join(texts))
         parts = normal.split(" ")
         for word in whole:
-            self.known[word] = _bytes(self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids)
+            self._keep(word, _bytes(self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids))
         if not words:
             return
         begins = np.cumsum([0] + [len(p) + 1 for p in parts])
@@ -132,7 +140,8 @@ class WordTokens:
                 known = pieces[piece] = _bytes([t.id for t in model.tokenize(piece)])
                 self.held += ENTRY_BYTES + len(piece) + len(known)
             ids[i].append(known)
-        self.known.update(zip(words, [b"".join(x) for x in ids], strict=True))
+        for word, found_ids in zip(words, ids, strict=True):
+            self._keep(word, b"".join(found_ids))
 
 
 def _bytes(ids: list[int]) -> bytes:
@@ -142,8 +151,9 @@ def _bytes(ids: list[int]) -> bytes:
     return made.tobytes()
 
 
-def loaded(path: str) -> WordTokens:
+def loaded(path: str, most_bytes: int = MOST_BYTES) -> WordTokens:
     """The tokenizer of this file; a worker loads it once and keeps it between tasks."""
-    if path not in _LOADED:
-        _LOADED[path] = WordTokens(path)
-    return _LOADED[path]
+    key = (path, most_bytes)
+    if key not in _LOADED:
+        _LOADED[key] = WordTokens(path, most_bytes)
+    return _LOADED[key]
