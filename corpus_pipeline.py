@@ -2,6 +2,12 @@
 
 A stage takes (spark, docs, sf_dir) and gives a DataFrame; `run` writes each
 one's rows to the shared folder as Parquet and hands them to the next.
+
+For every stage: a null text counts as empty, an empty text is a document like
+any other (it has a score, equal copies, no words to mix), very long texts are
+read whole, rows that repeat doc_id and text are rows of their own until exact
+dedup leaves one, a null doc_id stays null, further columns (any names) are
+carried along by all stages but the last, and an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -15,31 +21,32 @@ from rosterforge.llm import bag_minhash, chunk_dedup, quality_mil, source_mix, s
 from rosterforge.session import durable
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+CACHE_BYTES = 96 << 20  # four stages have filled the executors before words are packed
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier scores 0.5 or more."""
+    """Documents that the quality classifier scores 0.5 or more; all score alike if fewer than two classes are labelled."""
     return quality_mil.reject(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the one with the largest doc_id."""
+    """Of texts equal but for A-Z the one with the largest doc_id (null least); ties keep one row."""
     return chunk_dedup.unique(docs)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near copies the one with the smallest doc_id."""
+    """Of each class of near copies the one with the smallest doc_id; texts without shingles are alone."""
     return bag_minhash.one_of_each(docs)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as the mix takes them: whole, in part, or up to three times."""
+    """Documents as the mix takes them: whole, in part, or up to three times; texts without words are never taken."""
     return source_mix.apply(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids in windows: one row per piece of a document, with its ids."""
-    return ss_packing.pack(docs, TOKENIZER)
+    return ss_packing.pack(docs, TOKENIZER, cache_bytes=CACHE_BYTES)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
