@@ -21,31 +21,41 @@ from rosterforge.llm import bag_minhash, chunk_dedup, quality_mil, source_mix, s
 from rosterforge.session import durable
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
-CACHE_BYTES = 96 << 20  # four stages have filled the executors before words are packed
+CACHE_BYTES = 48 << 20  # four stages have filled the executors before words are packed
+
+
+def in_small_batches(spark: SparkSession) -> None:
+    """Whole texts go to Python workers a thousand rows at a time, a few MB, where Spark's own choice is ten times that."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier scores 0.5 or more; all score alike if fewer than two classes are labelled."""
+    in_small_batches(spark)
     return quality_mil.reject(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of texts equal but for A-Z the one with the largest doc_id (null least); ties keep one row."""
+    in_small_batches(spark)
     return chunk_dedup.unique(docs)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near copies the one with the smallest doc_id; texts without shingles are alone."""
+    """Of each class of near copies the one with the smallest doc_id; texts without words are one class."""
+    in_small_batches(spark)
     return bag_minhash.one_of_each(docs)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as the mix takes them: whole, in part, or up to three times; texts without words are never taken."""
+    in_small_batches(spark)
     return source_mix.apply(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids in windows: one row per piece of a document, with its ids."""
+    in_small_batches(spark)
     return ss_packing.pack(docs, TOKENIZER, cache_bytes=CACHE_BYTES)
 
 
