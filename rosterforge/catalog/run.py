@@ -18,12 +18,12 @@ def q_page_slice(spark, sf):
     return landed_slice(table(spark, sf, "orders").select("o_orderkey", "o_custkey"), "o_orderkey", 1000, 500)
 
 
-_LINES = ["=props", "=props", "=substr(props, 1, 5)", "", "=concat(' ', props)", "[1]", "  "]
+_LINES = ["=props", "=props", "=substr(props, 1, 5)", "", "=concat(' ', props)", "[1]", "  ", "=concat(props, ',0] junk')", "=concat(props, ',0],[')"]
 
 
 @query(
     "q_bad_json_rows",
-    f"""WITH r AS (SELECT event_id, {sql_pick("event_id", "=props", "=props", "=substr(props, 1, 5)", "", "=' ' || props", "[1]", "  ")} AS line FROM events)
+    f"""WITH r AS (SELECT event_id, {sql_pick("event_id", "=props", "=props", "=substr(props, 1, 5)", "", "=' ' || props", "[1]", "  ", "=props || ',0] junk'", "=props || ',0],['")} AS line FROM events)
 SELECT event_id, CASE WHEN json_valid(line) AND starts_with(trim(line), '{{') THEN json_extract_string(line, '$.k') END AS k,
   CASE WHEN NOT (json_valid(line) AND starts_with(trim(line), '{{')) THEN 'bad_json' END AS reason FROM r WHERE trim(line) <> ''""",
 )

@@ -24,10 +24,13 @@ def is_json_object(text: Column) -> Column:
     """Whole text is one well-formed JSON object, whatever its fields.
 
     Repeated keys (the last counts) and NaN are well-formed.  The text is read
-    as the first of two array elements: nothing but space may follow the object.
+    as the first of two array elements.  The second is the text's own digest,
+    which no text can hold: an array that the text itself closes, whatever
+    follows, does not end in it.
     """
-    pair = F.from_json(F.concat(F.lit("["), text, F.lit(",0]")), "array<string>", {"allowSingleQuotes": "false"})
-    return F.coalesce(strip(text).startswith("{") & (F.size(pair) == 2), F.lit(False))
+    mark = F.md5(text)
+    pair = F.from_json(F.concat(F.lit("["), text, F.lit(',"'), mark, F.lit('"]')), "array<string>", {"allowSingleQuotes": "false"})
+    return F.coalesce(strip(text).startswith("{") & (F.size(pair) == 2) & (F.element_at(pair, -1) == mark), F.lit(False))
 
 
 def parse_object(text: Column, schema: T.StructType | str) -> Column:

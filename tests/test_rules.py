@@ -48,7 +48,7 @@ SINGLE = {
         ("View our menu today please", True), ("Cart (3)", True), ("COPYRIGHT 2020 x", True), ("copyright x", False), ("Log In", True), ("a plain line", False),
     ]),
     "fence": (rp.strip_fence, [("```json\n{}\n```", "\n{}\n"), ("```{}```", "{}"), (" {} ", "{}"), ("```json", ""), ("```", "")]),
-    "json object": (rp.is_json_object, [('{"a": 1}', True), ("{bad", False), ('{"a": 1, "a": 2}', True), ('{"a": NaN}', True), ("{'a': 1}", False), ("[1]", False), ("", False), (None, False), ('{"a":1} x', False)]),
+    "json object": (rp.is_json_object, [('{"a": 1}', True), ("{bad", False), ('{"a": 1, "a": 2}', True), ('{"a": NaN}', True), ("{'a': 1}", False), ("[1]", False), ("", False), (None, False), ('{"a":1} x', False), ('{"a":1},0] junk', False), ('{"a":1},0],[', False), ('{"a":1},"x"]', False), (' {"a": [1, {"b": "]"}]}\n', True)]),
     "epoch": (rp.epoch_to_iso, [("1700000000", "2023-11-14T22:13:20"), ("0", None), ("x", None), (None, None), ("", None)]),
     "tier": (lambda x: synth.tier_of(x.cast("int")), [("90", "Top Rated"), ("85", "Top Rated"), ("84", "Verified"), ("70", "Verified"), ("50", "Standard"), ("49", "Needs Review")]),
 }
