@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rosterforge import fixed
 from rosterforge.catalog import base as b
 from rosterforge.catalog.base import pick, query, sql_pick, table
 from rosterforge.functions import matching as match
@@ -97,9 +98,45 @@ def q_place_lookup_join(spark, sf):
     )
 
 
-@query("q_place_gate")
+def sql_ratios(pairs: str) -> str:
+    """`blocks(a, b, matched)` of the distinct pairs of a relation, both already lower-cased.
+
+    Equal characters on one diagonal form runs; every open interval takes the
+    longest run clipped to it and leaves the parts before and behind it.
+    """
+    return f"""pair AS (SELECT *, row_number() OVER () AS pid FROM (SELECT DISTINCT a, b FROM {pairs} WHERE a <> '' AND b <> '')),
+rights AS (SELECT pid, a, b, unnest(range(1, length(b) + 1)) AS j FROM pair),
+lefts AS (SELECT *, unnest(range(1, length(a) + 1)) AS i FROM rights),
+cells AS (SELECT pid, i, i - j AS d FROM lefts WHERE substr(a, i, 1) = substr(b, j, 1)),
+runs AS (SELECT pid, d, min(i) AS i, count(*) AS n FROM (
+  SELECT *, i - row_number() OVER (PARTITION BY pid, d ORDER BY i) AS run FROM cells) GROUP BY pid, d, run),
+opened AS (SELECT pid, CAST(1 AS BIGINT) AS a0, CAST(length(a) + 1 AS BIGINT) AS a1, CAST(1 AS BIGINT) AS b0,
+    CAST(length(b) + 1 AS BIGINT) AS b1, CAST(0 AS BIGINT) AS size FROM pair
+  UNION ALL
+  SELECT pid, p.a0, p.a1, p.b0, p.b1, p.size FROM (
+    SELECT pid, unnest([{{'a0': a0, 'a1': -best.i, 'b0': b0, 'b1': -best.j, 'size': 0}},
+      {{'a0': best.n - best.i, 'a1': a1, 'b0': best.n - best.j, 'b1': b1, 'size': 0}},
+      {{'a0': 0, 'a1': 0, 'b0': 0, 'b1': 0, 'size': best.n}}]) AS p
+    FROM (SELECT pid, a0, a1, b0, b1, max({{'n': least(i + n, a1, b1 + d) - greatest(i, a0, b0 + d),
+        'i': -greatest(i, a0, b0 + d), 'j': d - greatest(i, a0, b0 + d)}}) AS best
+      FROM opened JOIN runs USING (pid) WHERE least(i + n, a1, b1 + d) > greatest(i, a0, b0 + d)
+      GROUP BY pid, a0, a1, b0, b1))),
+blocks AS (SELECT a, b, CAST(sum(size) AS BIGINT) AS matched FROM opened JOIN pair USING (pid) GROUP BY a, b)"""
+
+
+@query(
+    "q_place_gate",
+    f"""WITH RECURSIVE {SQL_RECORDS}, {SQL_LOOKUP},
+hit AS (SELECT id, k.name, place_name, street_address, place_address, status, business_status, l.query_md5 IS NOT NULL AS placed
+  FROM keyed k LEFT JOIN lookup l ON k.query_md5 = l.query_md5),
+named AS (SELECT lower(name) AS a, lower(place_name) AS b FROM hit), {sql_ratios("named")}
+SELECT id, CASE WHEN NOT placed THEN 'place_missing' WHEN status = 'NOT_FOUND' THEN 'place_not_found'
+  WHEN NOT ({sql_contain("name", "place_name")} OR COALESCE(2.0 * matched / (length(a) + length(b)), 0) >= {fixed.NAME_RATIO_THRESHOLD})
+    OR NOT {sql_streets("street_address", "place_address")} THEN 'place_mismatch'
+  WHEN {b.sql_blank("business_status")} OR business_status = 'CLOSED_PERMANENTLY' THEN 'place_status' END AS reason
+FROM hit LEFT JOIN blocks ON lower(name) = a AND lower(place_name) = b""",
+)
 def q_place_gate(spark, sf):
-    """Rows-only: the name ratio has no SQL counterpart (tested by brute force)."""
     judged = places.judge_places(records(spark, sf), lookup(spark, sf))
     return judged.select("id", F.col("drop_reason").alias("reason"))
 
@@ -213,13 +250,19 @@ def q_name_containment(spark, sf):
     )
 
 
-@query("q_name_similarity")
+@query(
+    "q_name_similarity",
+    f"""WITH RECURSIVE named AS (SELECT p_partkey, p_name, p_type || ' ' || p_brand AS other, lower(p_name) AS a,
+  lower(p_type || ' ' || p_brand) AS b FROM part), {sql_ratios("named")}
+SELECT p_partkey, round(CAST(2.0 * COALESCE(matched, 0) AS DOUBLE) / (length(n.a) + length(n.b)), 6) AS ratio,
+  {sql_contain("p_name", "other")} OR CAST(2.0 * COALESCE(matched, 0) AS DOUBLE) / (length(n.a) + length(n.b)) >= {fixed.NAME_RATIO_THRESHOLD} AS agree
+FROM named n LEFT JOIN blocks k ON n.a = k.a AND n.b = k.b""",
+)
 def q_name_similarity(spark, sf):
-    """Rows-only: sequence ratio; golden values are in the tests."""
     pairs = table(spark, sf, "part").select("p_partkey", F.col("p_name").alias("a"), F.concat("p_type", F.lit(" "), "p_brand").alias("b"))
-    return pairs.select(
-        "p_partkey", F.round(match.sequence_ratio(F.lower("a"), F.lower("b")), 6).alias("ratio"),
-        places.names_agree(F.col("a"), F.col("b")).alias("agree"),
+    judged = places.with_names_agree(pairs, F.col("a"), F.col("b"), "agree")
+    return judged.select(
+        "p_partkey", F.round(match.sequence_ratio(F.lower("a"), F.lower("b")), 6).alias("ratio"), "agree"
     )
 
 

@@ -29,16 +29,17 @@ def with_query(unified: DataFrame) -> DataFrame:
     return unified.withColumn("place_query", query).withColumn("query_md5", F.md5("place_query"))
 
 
-def names_agree(left: Column, right: Column) -> Column:
-    """Name test of one pair.
+def with_names_agree(df: DataFrame, left: Column, right: Column, column: str) -> DataFrame:
+    """Adds the name test of every row's pair as ``column``.
 
-    Containment runs in the JVM.  The Python ratio gets nulls for every pair
-    that containment or an empty name already decided, so it works only on
-    the pairs left open, and no shuffle is needed.
+    Spark's own expressions decide what bounds of the ratio can decide; only
+    the pairs left open reach the matching kernel, the others travel to it as
+    nulls.  No shuffle is needed.
     """
-    need = match.names_need_ratio(left, right)
-    ratio = match.sequence_ratio(F.when(need, F.lower(left)), F.when(need, F.lower(right)))
-    return match.names_contain(left, right) | match.ratio_agrees(ratio)
+    decided = df.withColumn("_decided", match.names_decided(left, right))
+    undecided = F.col("_decided").isNull()
+    ratio = match.sequence_ratio(F.when(undecided, F.lower(left)), F.when(undecided, F.lower(right)))
+    return decided.withColumn(column, F.coalesce("_decided", match.ratio_agrees(ratio))).drop("_decided")
 
 
 def join_places(unified: DataFrame, lookup: DataFrame) -> DataFrame:
@@ -49,9 +50,9 @@ def join_places(unified: DataFrame, lookup: DataFrame) -> DataFrame:
 
 def with_match(joined: DataFrame) -> DataFrame:
     """Adds `place_match`: does the found place fit the record?"""
-    names = names_agree(F.col("name"), F.col("place.name"))
+    named = with_names_agree(joined, F.col("name"), F.col("place.name"), "_names")
     streets = match.street_numbers_agree(street_address(F.col("address")), F.col("place.address"))
-    return joined.withColumn("place_match", names & streets)
+    return named.withColumn("place_match", F.col("_names") & streets).drop("_names")
 
 
 def gate_reason() -> Column:

@@ -8,7 +8,7 @@ from rosterforge.catalog import REGISTRY
 from tests.conftest import SF
 from tools.check_oracle import TABLES, rows_of
 
-# queries whose rule is the caller's function, the sequence ratio or vectors
+# queries whose rule is the caller's function, matching blocks or vectors
 PYTHON = {"q_place_gate", "q_name_similarity", "q_image_rank", "q_apply_model"}
 # the training-data operators have tests of their own
 QUERIES = {name: run for name, run in entry.queries().items() if name in REGISTRY}
