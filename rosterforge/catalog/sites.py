@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from rosterforge import fixed
 from rosterforge.catalog import base as b
 from rosterforge.catalog.base import pick, query, sql_pick, table
-from rosterforge.functions import html as h
 from rosterforge.functions import images as im
 from rosterforge.functions import urls as u
+from rosterforge.functions.text import SPACES
 from rosterforge.operators import site
 from rosterforge.operators.frontier import crawl
 from rosterforge.session import durable
@@ -66,17 +66,35 @@ def _q(pattern: str) -> str:
     return pattern.replace("'", "''")
 
 
+# The SQL reads a page as pieces between "<": a tag, then ">" and text.  It holds for the given pages: no ">" inside
+# quotes, comments without tags, double-quoted links, and the references that they use.
+_SQL_REFERENCES = [
+    ("&copy;", "\u00a9"), ("&middot;", "\u00b7"), ("&quot;", '"'), ("&#8217;", "\u2019"), ("&#x27;", "'"),
+    ("&iacute;", "\u00ed"), ("&Eacute;", "\u00c9"), ("&amp;", "&"),
+]
+
+
 def sql_decode(x: str) -> str:
-    for reference, character in h.CHARACTER_REFERENCES:
+    for reference, character in _SQL_REFERENCES:
         x = f"replace({x}, '{_q(reference)}', '{_q(character)}')"
     return x
 
 
-SQL_LINKS = rf"""visible AS (SELECT page_id, url, regexp_replace(html, '{_q(h.HIDDEN)}', '', 'g') AS shown FROM pages),
-anchors AS (SELECT page_id, url, list_transform(regexp_extract_all(shown, '(?is)<a\s(?:[^>]*?[\s"''])?href\s*=\s*("[^"]*"|''[^'']*''|[^\s"''<>=`]+)', 1),
-  lambda h: regexp_replace(h, '^["'']|["'']$', '', 'g')) AS found FROM visible),
-hrefs AS (SELECT page_id, url, CAST(i AS INTEGER) AS ord, {sql_decode(b.sql_strip("found[i + 1]"))} AS href
-  FROM (SELECT *, unnest(range(len(found))) AS i FROM anchors)),
+def sql_pieces(html: str) -> str:
+    """`shown(page_id, url, i, tag, piece, txt)`: the pieces outside of hidden elements."""
+    return f"""cut AS (SELECT page_id, url, string_split({html}, '<') AS pieces FROM pages),
+piece AS (SELECT page_id, url, unnest(range(1, len(pieces) + 1)) AS i, unnest(pieces) AS piece FROM cut),
+tagged AS (SELECT *, CASE WHEN i = 1 THEN '' ELSE lower(split_part(split_part(translate(piece, chr(10) || chr(9), '  '), '>', 1), ' ', 1)) END AS tag,
+  CASE WHEN i = 1 THEN piece ELSE substr(piece, strpos(piece, '>') + 1) END AS txt FROM piece),
+covered AS (SELECT *, sum(CASE WHEN tag IN ('script', 'style', 'noscript', 'template', 'head') THEN 1
+  WHEN tag IN ('/script', '/style', '/noscript', '/template', '/head') THEN -1 ELSE 0 END) OVER (PARTITION BY page_id ORDER BY i) AS covers FROM tagged),
+shown AS (SELECT page_id, url, i, tag, piece, txt FROM covered WHERE covers = 0)"""
+
+
+SQL_LINKS = f"""{sql_pieces("html")},
+hrefs AS (SELECT page_id, url, CAST(row_number() OVER (PARTITION BY page_id ORDER BY i) - 1 AS INTEGER) AS ord,
+  {sql_decode(b.sql_strip("split_part(split_part(piece, 'href=' || chr(34), 2), chr(34), 1)"))} AS href
+  FROM shown WHERE tag = 'a' AND contains(piece, ' href=' || chr(34))),
 links AS (SELECT page_id, url, ord, href, CASE WHEN regexp_matches(href, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN href
   WHEN href LIKE '/%' THEN regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1) || href
   ELSE regexp_extract(split_part(split_part(url, '#', 1), '?', 1), '^(.*/)', 1) || href END AS link FROM hrefs)"""
@@ -100,24 +118,30 @@ def q_link_filter(spark, sf):
     return site.follow_links(site.extract_links(table(spark, sf, "pages", "url", "html")))
 
 
-def sql_inner_text(x: str) -> str:
-    collapsed = f"regexp_replace({x}, '{b.SQL_SPACE}+', ' ', 'g')"
-    broken = f"regexp_replace({collapsed}, '{_q(h.BREAKING)}', chr(10), 'g')"
-    bare = sql_decode(f"regexp_replace({broken}, '{h.TAG}', '', 'g')")
-    return rf"trim(regexp_replace({bare}, ' *\n[ \n]*', chr(10), 'g'), ' ' || chr(10))"
+_BLOCKS = (
+    "br p div li ul ol h1 h2 h3 h4 h5 h6 tr table section article main header footer nav aside form blockquote pre "
+    "dl dt dd figure figcaption address hr"
+)
 
 
-def _sql_page_text() -> str:
-    shown = f"regexp_replace(regexp_replace(html, '{_q(h.HIDDEN)}', '', 'g'), '{h.HEAD}', '', 'g')"
-    named = lambda a, v: (
-        rf"""regexp_extract(shown, '(?is)<(?:div|section)\b[^>]*\b{a}\s*=\s*["''](?:[^"'']*\s)?{v}(?:\s[^"'']*)?["''][^>]*>(.*)</(?:div|section)\s*>', 1)"""
-    )
-    inside = lambda n: rf"regexp_extract(shown, '(?is)<{n}\b[^>]*>(.*)</{n}\s*>', 1)"
-    found = [inside("main"), inside("article"), named("id", "content"), named("class", "content"), named("id", "main"), named("class", "main"), "shown"]
-    columns = ", ".join(f"{sql_inner_text(x)} AS t{i}" for i, x in enumerate(found))
-    whens = " ".join(f"WHEN length(t{i}) > 200 THEN t{i}" for i in range(6))
-    return f"""WITH s AS (SELECT url, {shown} AS shown FROM pages), t AS (SELECT url, {columns} FROM s),
-c AS (SELECT url, CASE {whens} ELSE t6 END AS text FROM t)
+def _sql_page_text(html: str = "html") -> str:
+    """Nesting by running counts: an element ends where its name's depth falls below that of its start tag."""
+    blocks = ", ".join(f"'{t}', '/{t}'" for t in _BLOCKS.split() if t != "br")
+    words = lambda a: rf"""' ' || split_part(split_part(piece, ' {a}=' || chr(34), 2), chr(34), 1) || ' '"""
+    return f"""WITH {sql_pieces(html)},
+depths AS (SELECT *, ltrim(tag, '/') AS name, sum(CASE WHEN tag LIKE '/%' THEN -1 ELSE 1 END) OVER (PARTITION BY page_id, ltrim(tag, '/') ORDER BY i) AS depth FROM shown),
+ranked AS (SELECT *, unnest([CASE WHEN tag = 'main' THEN 1 END, CASE WHEN tag = 'article' THEN 2 END,
+  CASE WHEN contains({words("id")}, ' content ') THEN 3 END, CASE WHEN contains({words("class")}, ' content ') THEN 4 END,
+  CASE WHEN contains({words("id")}, ' main ') THEN 5 END, CASE WHEN contains({words("class")}, ' main ') THEN 6 END]) AS rank FROM depths),
+starts AS (SELECT page_id, rank, min(i) AS i0, arg_min(name, i) AS name, arg_min(depth, i) AS depth FROM ranked WHERE rank IS NOT NULL GROUP BY ALL),
+ends AS (SELECT s.page_id, s.rank, any_value(s.i0) AS i0, min(d.i) AS i1 FROM starts s LEFT JOIN depths d
+  ON d.page_id = s.page_id AND d.name = s.name AND d.i > s.i0 AND d.depth < s.depth GROUP BY s.page_id, s.rank
+  UNION ALL SELECT DISTINCT page_id, 7, 0, NULL FROM shown),
+texts AS (SELECT s.page_id, url, rank, string_agg(CASE WHEN tag IN ('br', {blocks}) AND i > i0 THEN chr(10) ELSE '' END
+  || translate(txt, '{SPACES}', repeat(' ', {len(SPACES)})), '' ORDER BY i) AS raw
+  FROM shown s JOIN ends e ON s.page_id = e.page_id AND i >= i0 AND (i1 IS NULL OR i < i1) GROUP BY s.page_id, url, rank),
+clean AS (SELECT page_id, url, rank, trim(regexp_replace({sql_decode("regexp_replace(raw, '  +', ' ', 'g')")}, ' *\n[ \n]*', chr(10), 'g'), ' ' || chr(10)) AS text FROM texts),
+c AS (SELECT url, arg_min(text, rank) AS text FROM clean WHERE length(text) > 200 OR rank = 7 GROUP BY page_id, url)
 SELECT url, text, 'content_' || md5(url) || '.txt' AS file FROM c WHERE length(text) > 100"""
 
 
@@ -126,6 +150,28 @@ def q_page_text(spark, sf):
     return site.page_texts(table(spark, sf, "pages", "url", "html"))
 
 
+# the pages again with their article as a nested element of another name, id or class, and as a main in a main
+_NESTS = [
+    ('<div class="wide content"><div>Isn&#8217;t it &#x27;Mar&iacute;a&#x27; &Eacute;?</div>', "</div><div>aside</div>"),
+    ('<section id="main"><section>one</section>', "</section><section>two</section>"),
+    ("<main>a<main>b</main> <b>c</b> <i>d</i>", "</main>e"),
+    ('<p id="content">short</p><span class="main">', "</span>behind"),
+]
+
+
+def _nested(replace_in: str, key: str) -> str:
+    """The same expression in both engines."""
+    opens = " ".join(f"WHEN {key} % 4 = {i} THEN '{a}'" for i, (a, _) in enumerate(_NESTS))
+    closes = " ".join(f"WHEN {key} % 4 = {i} THEN '{z}'" for i, (_, z) in enumerate(_NESTS))
+    return f"replace(replace({replace_in}, '<article>', CASE {opens} END), '</article>', CASE {closes} END)"
+
+
+@query("q_page_text_nested", _sql_page_text(_nested("html", "page_id")))
+def q_page_text_nested(spark, sf):
+    pages = table(spark, sf, "pages", "page_id", "url", "html")
+    return site.page_texts(pages.withColumn("html", F.expr(_nested("html", "page_id"))))
+
+
 def pages_with_media(spark: SparkSession, sf: str) -> DataFrame:
     """Stored pages with image and document references put in front."""
     media = F.expr(

@@ -52,7 +52,8 @@ def page_texts(pages: DataFrame, *keep: str) -> DataFrame:
     """Pages with enough readable text, as the site's text files."""
     # one select per stage, so that each intermediate text is worked out once
     shown = pages.select("url", *keep, h.body(F.col("html")).alias("shown"))
-    candidates = shown.select("url", *keep, "shown", h.content_texts(F.col("shown")).alias("texts"))
+    opened = shown.select("url", *keep, "shown", h.content_openings(F.col("shown")).alias("opened"))
+    candidates = opened.select("url", *keep, "shown", h.content_texts(F.col("opened")).alias("texts"))
     chosen = candidates.select("url", *keep, h.chosen_text(F.col("texts"), F.col("shown")).alias("text"))
     return where_once(chosen, lambda r: F.char_length(r["text"]) > fixed.PAGE_TEXT_MIN_CHARS).select(
         "url", *keep, "text", u.text_asset_name(F.col("url")).alias("file")
