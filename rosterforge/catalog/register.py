@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rosterforge import fixed
+from rosterforge import fixed, schemas
 from rosterforge.catalog import base as b
 from rosterforge.catalog.base import pick, query, sql_pick, table
 from rosterforge.functions import register as reg
@@ -14,7 +14,8 @@ from rosterforge.operators import unify
 from rosterforge.operators.ordering import mark_first
 from rosterforge.operators.unify import LocationFilter
 from rosterforge.plans.starter import first_by_id
-from rosterforge.session import durable
+from rosterforge.session import durable, durable_path
+from rosterforge.sources.registers import scan_register
 
 TYPES = [
     "Licensed Center", "Child Placing Agency", "Family Home", "Residential Treatment",
@@ -204,7 +205,7 @@ unified AS (
   FROM raw_wa)"""
 
 
-def sql_reasoned(location: str = "") -> str:
+def sql_reasoned(location: str = "", rows: str = "unified") -> str:
     """CTEs up to `reasoned`: every unified row with `drop_reason`."""
     words = b.sql_any("lower(name)", fixed.EXCLUDED_NAME_WORDS)
     return sql_unified() + f""",
@@ -213,7 +214,7 @@ ruled AS (
     WHEN {words} THEN 'filtered_keyword' WHEN capacity = 0 THEN 'filtered_capacity'
     WHEN {b.sql_blank("phone")} AND {b.sql_blank("email")} AND {b.sql_blank("website")} THEN 'filtered_contact'
     WHEN name = 'Unknown' OR name = '' THEN 'missing_name' WHEN full_address = '' THEN 'missing_address'
-    {location} WHEN status <> 'Active' THEN 'inactive' END AS rule FROM unified),
+    {location} WHEN status <> 'Active' THEN 'inactive' END AS rule FROM {rows}),
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY rule IS NULL, name, full_address ORDER BY src, ord) AS nth FROM ruled),
 reasoned AS (
@@ -246,6 +247,50 @@ def q_drop_reason(spark, sf):
     )
 
 
+# elements of a landed array that are no objects, or none that can be read
+_BROKEN = ['5', 'null', '"}],[{ \\" ,"', '[1, {"operation_id": "7"}]', '{"operation_id" "7"}', '{"operation_id": "7",}']
+_NOTE = ',"note":"a \\"}], [{ \\\\"}'
+
+
+def land_arrays(rows: DataFrame, path: str, element: str, position: str, rows_per_file: int = 20_000) -> None:
+    """Writes ``element`` as files of one JSON array each, in order of ``position``, a whole number."""
+    of_file = Window.partitionBy("file").orderBy(position)
+    numbered = rows.select(
+        F.lpad(F.expr(f"CAST({position} div {rows_per_file} AS STRING)"), 12, "0").alias("file"), position, element
+    )
+    edges = numbered.select(
+        "file",
+        F.concat(
+            F.when(F.lag(F.lit(1)).over(of_file).isNull(), F.lit("[")).otherwise(F.lit("")),
+            F.col(element),
+            F.when(F.lead(F.lit(1)).over(of_file).isNull(), F.lit("]")).otherwise(F.lit(",")),
+        ).alias("value"),
+    )
+    edges.write.partitionBy("file").text(path)
+
+
+@query(
+    "q_register_scan",
+    sql_reasoned(rows="(SELECT * FROM unified WHERE src = 0 AND ord % 11 NOT IN (3, 8)) landed")
+    + """ SELECT id, name, full_address, drop_reason FROM reasoned
+UNION ALL SELECT NULL, NULL, NULL, 'processing_error' FROM customer JOIN nation ON c_nationkey = n_nationkey
+WHERE c_custkey % 11 IN (3, 8)""",
+)
+def q_register_scan(spark, sf):
+    broken = F.element_at(F.array(*map(F.lit, _BROKEN)), F.expr(f"CAST(_ord div 11 % {len(_BROKEN)} AS INT)") + 1)
+    noted = F.concat(F.expr("substring(_raw, 1, length(_raw) - 1)"), F.lit(_NOTE))
+    landed = raw_tx(spark, sf).select("_ord", F.when((F.col("_ord") % 11).isin(3, 8), broken).otherwise(noted).alias("element"))
+    path = durable_path(spark, "landed-arrays")
+    land_arrays(landed, path, "element", "_ord")
+    scanned = scan_register(spark, path, schemas.RAW_TX, json_lines=False)
+    rows = durable(unify.union_registers({"TX": scanned}).drop("original_record"), "standardised")
+    read = F.col("drop_reason").isNull() | (F.col("drop_reason") != "processing_error")
+    return unify.with_drop_reason(rows).select(
+        F.when(read, F.col("id")).alias("id"), F.when(read, F.col("name")).alias("name"),
+        F.when(read, F.col("address.full")).alias("full_address"), "drop_reason",
+    )
+
+
 _REASON_VALUES = ", ".join(f"('{r}')" for r in fixed.DROP_REASONS)
 
 

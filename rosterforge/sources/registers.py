@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from rosterforge.functions.replies import is_json_object
 from rosterforge.operators.ordering import page_slice
+from rosterforge.sources.arrays import scan_array
 
 
 def scan_order() -> Column:
@@ -35,8 +36,8 @@ def scan_register(
 ) -> DataFrame:
     """Register dump with its raw row (`_raw`) and position (`_ord`).
 
-    JSON Lines is split over tasks.  ``json_lines=False`` reads JSON arrays,
-    where one file is one task: keep such files small.
+    Both JSON Lines and, with ``json_lines=False``, files of one JSON array
+    each are split over tasks.
     """
     if json_lines:
         text = spark.read.text(path).select(
@@ -47,24 +48,14 @@ def scan_register(
             .select(*_parsed(schema))
             .select("r.*", "_raw", "_ord", "_broken")
         )
-    elements = (
-        spark.read.text(path, wholetext=True)
-        .select(
-            F.col("_metadata.file_path").alias("file"),
-            F.posexplode(F.from_json("value", "array<string>")).alias("row", "_raw"),
-        )
-        .select(
-            "_raw",
-            F.struct("file", F.lit(0).cast("long").alias("block"), F.col("row").cast("long").alias("row"))
-            .alias("_ord"),
-        )
-    )
-    return elements.select(*_parsed(schema)).select("r.*", "_raw", "_ord", "_broken")
+    elements = scan_array(spark, path)
+    return elements.select(*_parsed(schema, F.col("_whole"))).select("r.*", "_raw", "_ord", "_broken")
 
 
-def _parsed(schema: T.StructType) -> list[Column]:
-    """Fields of a raw line, and whether it is broken: no JSON object."""
+def _parsed(schema: T.StructType, whole: Column | None = None) -> list[Column]:
+    """Fields of a raw line, and whether it is broken: no JSON object, or only a part of one."""
     good = is_json_object(F.col("_raw"))
+    good = good if whole is None else good & whole
     return [
         F.from_json("_raw", schema).alias("r"), F.col("_raw"), F.col("_ord"), (~good).alias("_broken"),
     ]
