@@ -9,6 +9,8 @@ from rosterforge.catalog.base import pick, query, sql_pick, table
 from rosterforge.catalog.synth import SQL_FINAL, final_records
 from rosterforge.functions.replies import epoch_to_iso
 from rosterforge.operators import publish as p
+from rosterforge.session import durable_path
+from rosterforge.sinks import buckets
 
 BASE = "https://files.org/"
 
@@ -136,6 +138,21 @@ def q_upsert_latest(spark, sf):
     return p.upsert(existing, events.where(is_new), ["user_id"], newest)
 
 
+@query(
+    "q_upsert_plan",
+    """SELECT user_id, event_id, event_type FROM (
+  SELECT user_id, event_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY event_id % 3 DESC, event_id DESC) AS nth
+  FROM events) WHERE nth = 1""",
+)
+def q_upsert_plan(spark, sf):
+    """Three runs in a row, of rows that the first, second and third part of the events bring."""
+    events = table(spark, sf, "events").select("user_id", "event_id", "event_type")
+    root = durable_path(spark, "upsert-plan")
+    for run in range(3):
+        buckets.upsert(events.where(F.col("event_id") % 3 == run), root, ["user_id"], [F.col("event_id").desc()], n_buckets=64)
+    return buckets.current(spark, root, events.schema)
+
+
 @query(
     "q_enrichment_gate",
     f"""WITH r AS (SELECT d.doc_id, CASE quality WHEN 1 THEN lang WHEN 0 THEN '' END AS s, CASE toxic WHEN 1 THEN source END AS t, {sql_pick("d.doc_id", "", None, "staff")} AS u,

@@ -221,7 +221,11 @@ def upsert(existing: DataFrame, new: DataFrame, keys: list[str], order: list[Col
     ``order`` sorts the newest row first.  A small batch reaches the big table
     as a broadcast anti-join that Spark picks by size, without shuffling it.
     """
-    fresh = latest(new, keys, order)
+    return put(existing, latest(new, keys, order), keys)
+
+
+def put(existing: DataFrame, fresh: DataFrame, keys: list[str]) -> DataFrame:
+    """``fresh``, one row per key, and the old rows of all other keys."""
     marks = fresh.select(*[F.col(k).alias(f"_new_{k}") for k in keys])
     same = reduce(lambda a, b: a & b, [existing[k].eqNullSafe(marks[f"_new_{k}"]) for k in keys])
     return existing.join(marks, same, "left_anti").unionByName(fresh)

@@ -166,9 +166,9 @@ def violations(reply: Column, candidates: Column) -> Column:
 
 # --- final record ----------------------------------------------------------
 
-def final_record(joined: DataFrame) -> DataFrame:
+def final_record(joined: DataFrame, *more: str) -> DataFrame:
     """Final record from `unified` columns joined with `place`, `site`, `reply`
-    structs, `target_url` and `image_candidates`."""
+    structs, `target_url` and `image_candidates`; columns named in ``more`` pass through."""
     reply, place, site = F.col("reply"), F.col("place"), F.col("site")
     ranking, data = reply["ranking"], reply["structured_data"]
     marketing = reply["marketing_content"]
@@ -212,4 +212,4 @@ def final_record(joined: DataFrame) -> DataFrame:
         "longitude": place["street_view_metadata"]["lng"],
         "photos": F.coalesce(F.col("image_candidates"), no_text),
     }
-    return joined.select(*[values.get(c, data[c] if c not in values else None).alias(c) for c in fixed.FINAL_COLUMNS])
+    return joined.select(*[values.get(c, data[c] if c not in values else None).alias(c) for c in fixed.FINAL_COLUMNS], *more)

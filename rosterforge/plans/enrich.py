@@ -23,6 +23,10 @@ class EnrichResult:
     retries: DataFrame
     usage: DataFrame
 
+    def to_publish(self) -> DataFrame:
+        """`final` with the rows' positions, so that of one id the last row is published."""
+        return synth.final_record(self.records, "_ord")
+
 
 def select_input(
     unified: DataFrame, done: DataFrame | None = None, ids: DataFrame | None = None, limit: int | None = None

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from rosterforge.operators import publish as p
 from rosterforge.operators import selection
 from rosterforge.session import durable
-from rosterforge.sinks import versions
+from rosterforge.sinks import buckets, versions
 
 REVIEW_COLUMNS = ["daycare_id", "source", "author_name", "rating", "text", "published_time"]
 
@@ -44,6 +44,8 @@ def build(
     final = selection.first_rows(final, limit, "daycare_id")
     if "_ord" in final.columns:  # of one id the last row wins
         final = p.latest(final, ["daycare_id"], [F.col("_ord").desc()]).drop("_ord")
+        if "_ord" in records.columns:
+            records = p.latest(records, ["id"], [F.col("_ord").desc()])
     whole = F.struct(*final.columns)
     reason = F.coalesce(p.publish_reason(whole, F.lit(None).cast("string")), p.number_reason(whole))
     judged = durable(final.withColumn("reason", reason), "final")
@@ -93,3 +95,22 @@ def write(spark: SparkSession, tables: Published, root: str) -> dict[str, str]:
         "daycare_assets": versions.publish(assets, f"{root}/daycare_assets"),
         "daycare_enrichments": versions.publish(enrichments, f"{root}/daycare_enrichments"),
     }
+
+
+def write_buckets(tables: Published, root: str, n_buckets: int = buckets.BUCKETS, keep: int = buckets.KEEP) -> dict[str, int | None]:
+    """Like `write`, but rewrites only the buckets that the run touches; returns versions.
+
+    Read with `buckets.current`.  A table keeps the number of buckets that it
+    was made with.
+    """
+    size = {"n_buckets": n_buckets, "keep": keep}
+    return {
+        "daycares": buckets.upsert(tables.listings, f"{root}/daycares", ["daycare_id"], [F.col("name")], **size),
+        "daycare_reviews": buckets.upsert(
+            tables.reviews, f"{root}/daycare_reviews", p.REVIEW_KEY, [F.col("ord").desc()], REVIEW_COLUMNS, **size
+        ),
+        "daycare_assets": buckets.replace_slice(tables.assets, f"{root}/daycare_assets", "daycare_id", **size),
+        "daycare_enrichments": buckets.upsert(
+            tables.enrichments, f"{root}/daycare_enrichments", ["daycare_id"], [F.col("updated_at")], **size
+        ),
+    }
