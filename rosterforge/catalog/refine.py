@@ -9,6 +9,7 @@ from rosterforge import fixed
 from rosterforge.catalog import base as b
 from rosterforge.catalog.base import pick, query, sql_pick, table
 from rosterforge.operators import images, refine, selection
+from rosterforge.operators.ordering import first_n_per
 
 # lines put in front of every file
 EXTRA = [
@@ -193,3 +194,26 @@ def q_limit_before_gate(spark, sf):
     good = table(spark, sf, "labels").where("quality = 1")
     documents = table(spark, sf, "documents").select("doc_id", "source")
     return selection.only_ids(selection.first_rows(documents, 100, "doc_id"), good, "doc_id")
+
+
+@query(
+    "q_limit_many_per_group",
+    """SELECT l_returnflag, l_orderkey, l_linenumber FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_returnflag ORDER BY l_orderkey DESC, l_linenumber) AS nth FROM lineitem) WHERE nth <= 5000""",
+)
+def q_limit_many_per_group(spark, sf):
+    """More rows a group than Spark's own group limit takes."""
+    lines = table(spark, sf, "lineitem").select("l_returnflag", "l_orderkey", "l_linenumber")
+    return first_n_per(lines, "l_returnflag", [F.col("l_orderkey").desc(), F.col("l_linenumber")], 5000)
+
+
+@query(
+    "q_limit_many",
+    """WITH p AS (SELECT concat(o_orderpriority, '/', o_orderkey) AS place, o_orderkey, o_custkey FROM orders)
+SELECT * FROM p ORDER BY place LIMIT 5000""",
+)
+def q_limit_many(spark, sf):
+    """The first rows by a text column."""
+    orders = table(spark, sf, "orders")
+    place = F.concat_ws("/", "o_orderpriority", F.col("o_orderkey").cast("string"))
+    return selection.first_rows(orders.select(place.alias("place"), "o_orderkey", "o_custkey"), 5000, "place")

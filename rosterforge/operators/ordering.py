@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rosterforge.session import durable
+
 # Largest n for which Spark limits each group before the exchange
 # (spark.sql.optimizer.windowGroupLimitThreshold).
 _GROUP_LIMIT = 1000
@@ -19,38 +21,81 @@ def _columns(names: list[str] | str) -> list[str]:
     return [names] if isinstance(names, str) else list(names)
 
 
-def first_n_per(
-    df: DataFrame,
-    keys: list[str] | str,
-    order: list[Column],
-    n: int,
-    salts: int = 64,
-    spread: list[str] | None = None,
-) -> DataFrame:
-    """First ``n`` rows of every group in a total order.
+def first_n_per(df: DataFrame, keys: list[str] | str, order: list[Column], n: int) -> DataFrame:
+    """First ``n`` rows of every group in a total order; null keys are a group.
 
     Up to 1,000 rows Spark itself drops the surplus before the exchange.
-    Beyond that a first round keeps ``n`` rows per group and salt, so that the
-    second round sees at most ``n * salts`` rows of any group.  Columns in
-    ``spread`` make the salt; by default all of them.
+    Beyond that rows are dealt by ranges of (keys, order), so that a group of
+    any size lies in many tasks; the counts of the ranges say which of them
+    are in, out, or hold a group's n-th row, and only those last are numbered.
     """
     keys = _columns(keys)
     if n > _GROUP_LIMIT:
-        salted = spread or [c for c in df.columns if _hashable(df, c)]
-        salt = F.pmod(F.xxhash64(*salted), F.lit(salts))
-        first = Window.partitionBy(*keys, "_salt").orderBy(*order)
-        df = (
-            df.withColumn("_salt", salt)
-            .withColumn("_rank", F.row_number().over(first))
-            .where(F.col("_rank") <= n)
-            .drop("_rank", "_salt")
-        )
+        return _first_n_in_ranges(df, keys, order, n)
     ranked = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rank", F.row_number().over(ranked)).where(F.col("_rank") <= n).drop("_rank")
 
 
-def _hashable(df: DataFrame, column: str) -> bool:
-    return df.schema[column].dataType.typeName() not in ("map", "variant")
+def _in_ranges(df: DataFrame, order: list[Column]) -> DataFrame:
+    """``df`` written in ranges of ``order``, with the range's number as `_part`."""
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # the number is written down: it must not change when a lost task runs again
+    return durable(df.repartitionByRange(tasks, *order).withColumn("_part", F.spark_partition_id()), "ranges")
+
+
+def _first_n_in_ranges(df: DataFrame, keys: list[str], order: list[Column], n: int) -> DataFrame:
+    placed = _in_ranges(df, [*[F.col(k) for k in keys], *order])
+    # a row per group and range that holds some of it: groups and ranges together, at most
+    below = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = (
+        placed.groupBy(*keys, "_part")
+        .agg(F.count("*").alias("_n"))
+        .withColumn("_before", F.coalesce(F.sum("_n").over(below), F.lit(0)))
+        .where(F.col("_before") < n)
+    )
+    other = {k: f"_group{i}" for i, k in enumerate([*keys, "_part"])}
+    renamed = counts.select(*[F.col(k).alias(other[k]) for k in other], "_n", "_before")
+    near = placed.join(renamed, [F.col(k).eqNullSafe(F.col(other[k])) for k in other])
+    cut = F.col("_before") + F.col("_n") > n
+    ranked = Window.partitionBy(*keys, "_part").orderBy(*order)
+    split = near.where(cut).withColumn("_rank", F.row_number().over(ranked)).where(F.col("_before") + F.col("_rank") <= n)
+    return near.where(~cut).select(*df.columns).unionByName(split.select(*df.columns))
+
+
+def nth(df: DataFrame, order: str, n: int) -> tuple | None:
+    """Value of the ``n``-th row (from 1) by one sortable column, nulls first, and the rows below that value.
+
+    None if there are fewer rows.  Only this column is dealt by ranges; the
+    driver gets one count a range, and one range is sorted.
+    """
+    placed = _in_ranges(df.select(F.col(order).alias("_at")), [F.col("_at")])
+    start = 0
+    for part, count in sorted(tuple(r) for r in placed.groupBy("_part").count().collect()):
+        if start + count >= n:
+            mine = placed.where(F.col("_part") == part).select("_at")
+            value = mine.orderBy("_at").offset(n - start - 1).limit(1).first()["_at"]
+            lower = F.lit(False) if value is None else F.col("_at").isNull() | (F.col("_at") < F.lit(value))
+            return value, start + mine.where(lower).count()
+        start += count
+    return None
+
+
+def first_n(df: DataFrame, order: str, n: int) -> DataFrame:
+    """First ``n`` rows over all by one sortable column, nulls first; of ties at the end any.
+
+    Up to 1,000 rows each task sends its own first ``n``.  Beyond that the
+    n-th value is found by ranges and the rest is a filter: rows do not move.
+    """
+    if n <= _GROUP_LIMIT:
+        return df.orderBy(order).limit(n)
+    found = nth(df, order, n)
+    if found is None:
+        return df
+    value, below = found
+    if value is None:
+        return df.where(F.col(order).isNull()).limit(n)
+    lower = df.where(F.col(order).isNull() | (F.col(order) < F.lit(value)))
+    return lower.unionByName(df.where(F.col(order) == F.lit(value)).limit(n - below))
 
 
 def keep_first(df: DataFrame, keys: list[str] | str, order: list[Column]) -> DataFrame:

@@ -159,8 +159,7 @@ def site_bodies(
     )
     # every block has a least length, so only so many can begin within the cap
     near = first_n_per(
-        lengths.join(long_sites, "domain"), "domain", [F.col("part"), F.col("ord")],
-        cap // _SHORTEST_BLOCK + 1, spread=["part", "ord"],
+        lengths.join(long_sites, "domain"), "domain", [F.col("part"), F.col("ord")], cap // _SHORTEST_BLOCK + 1
     )
     before = Window.partitionBy("domain").orderBy("part", "ord").rowsBetween(Window.unboundedPreceding, -1)
     cuts = (

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rosterforge.operators.ordering import first_n_per
+from rosterforge.operators.ordering import first_n, first_n_per
 
 
 def only_ids(df: DataFrame, ids: DataFrame, key: str = "id") -> DataFrame:
@@ -32,5 +32,5 @@ def sample_per_source(
 
 
 def first_rows(df: DataFrame, n: int | None, order: str = "_ord") -> DataFrame:
-    """First ``n`` rows over all; each task sends ``n`` rows at most."""
-    return df if not n else df.orderBy(order).limit(n)
+    """First ``n`` rows over all."""
+    return df if not n else first_n(df, order, n)
