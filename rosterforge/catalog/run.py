@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from rosterforge import fixed
 from rosterforge.catalog.base import pick, query, sql_pick, table
-from rosterforge.operators import ledger
-from rosterforge.session import durable_path
+from rosterforge.operators import ledger, run_input
+from rosterforge.schemas import S, struct
+from rosterforge.session import durable, durable_path
 from rosterforge.sources.jsonl import split_lines
 from rosterforge.sources.registers import landed_slice
 from rosterforge.streaming import incremental
@@ -114,6 +115,42 @@ def q_retry_feed(spark, sf):
     return ledger.retry_feed(rows)
 
 
+_START, _LIMIT = 100, 2500
+_RECORD = """concat('{"id": "', user_id, '", "type": "', event_type, '"}')"""
+_SQL_RECORD = _RECORD.replace("concat(", "").removesuffix(")").replace(", user_id,", " || user_id ||").replace(", event_type,", " || event_type ||")
+
+
+@query(
+    "q_run_totals",
+    f"""WITH r AS (SELECT event_id AS pos, user_id, event_type AS type, {sql_pick("event_id", f"={_SQL_RECORD}", f"={_SQL_RECORD}", f"={_SQL_RECORD} || ',0] junk'", "  ", f"={_SQL_RECORD}")} AS line FROM events),
+j AS (SELECT *, CASE WHEN pos < {_START} THEN 'earlier' WHEN trim(line) = '' THEN 'blank' WHEN NOT json_valid(line) THEN 'bad_json'
+  WHEN user_id IN (SELECT c_custkey FROM customer WHERE c_mktsegment <> 'BUILDING') THEN 'kept' ELSE 'skipped' END AS outcome FROM r),
+n AS (SELECT *, CASE WHEN outcome = 'kept' THEN row_number() OVER (PARTITION BY outcome ORDER BY pos) END AS nth FROM j),
+e AS (SELECT COALESCE(max(pos) FILTER (nth = {_LIMIT}), (SELECT max(pos) FROM r)) AS last FROM n),
+o AS (SELECT pos, type, CASE WHEN outcome <> 'earlier' AND pos > last THEN 'later' ELSE outcome END AS outcome FROM n, e)
+SELECT count(*) AS lines, {", ".join(f"count(*) FILTER (outcome = '{o}') AS {o}" for o in ("earlier", "blank", "bad_json", "skipped", "kept", "later"))},
+  count(*) FILTER (outcome = 'kept' AND type <> 'click') AS written,
+  count(*) FILTER (outcome = 'kept' AND type = 'click') + count(*) FILTER (outcome = 'kept' AND type = 'error') AS failed FROM o""",
+)
+def q_run_totals(spark, sf):
+    """One run over lines: resumed behind the first hundred, limited, with an id filter; a failed research is written and retried."""
+    line = pick("event_id", f"={_RECORD}", f"={_RECORD}", f"=concat({_RECORD}, ',0] junk')", "  ", f"={_RECORD}")
+    lines = table(spark, sf, "events").select(F.col("event_id").alias("_ord"), line.alias("line"))
+    ids = table(spark, sf, "customer").where("c_mktsegment <> 'BUILDING'").select(F.col("c_custkey").alias("id"))
+    found = run_input.read(lines, struct(id=S, type=S), ids, _START, _LIMIT)
+    record = F.struct("id", "type")
+    outcomes = durable(
+        found.records.select(
+            record.alias("original_record"), record.alias("final"),
+            F.when(F.col("type") == "error", "ERROR").alias("research_status"), F.lit(None).cast("string").alias("research_error"),
+            F.when(F.col("type") == "click", "no reply").alias("synthesis_error"),
+        ),
+        "outcomes",
+    )
+    written = run_input.write(outcomes, durable_path(spark, "finished"), durable_path(spark, "retries"), F.lit("2024-01-01T00:00:00"))
+    return run_input.totals(spark, found.counts, written)
+
+
 @query("q_stream_incremental", "SELECT event_id, user_id, event_type FROM events WHERE event_type <> 'error'")
 def q_stream_incremental(spark, sf):
     schema = spark.read.parquet(f"{sf}/events.parquet").schema
