@@ -10,6 +10,7 @@ from rosterforge.catalog import base as b
 from rosterforge.catalog.base import pick, query, sql_pick, table
 from rosterforge.functions import text as tx
 from rosterforge.operators import model_calls, synth
+from rosterforge.session import durable_path
 
 
 def _last(x: str, mark: str) -> str:
@@ -319,3 +320,30 @@ def q_apply_model(spark, sf):
 
     prompts = table(spark, sf, "documents", "doc_id", "text").select(F.col("doc_id").cast("string").alias("daycare_id"), F.col("text").alias("prompt"))
     return model_calls.apply_model(prompts, make, fixed.RESEARCH_STEP, first_wait=0.0)
+
+
+@query(
+    "q_run_model",
+    """SELECT CAST(c_custkey AS VARCHAR) AS daycare_id, upper(c_name) AS reply, CAST(length(c_name) AS BIGINT) AS input_tokens,
+  CAST(CASE WHEN c_custkey % 3 = 0 THEN 2 ELSE 1 END AS BIGINT) AS stored FROM customer""",
+)
+def q_run_model(spark, sf):
+    """Two runs over one reply store: the first fails on every third record, the second asks for those alone."""
+
+    def stand_in(broken: bool):
+        def make():
+            def call(prompt: str):
+                if broken and int(prompt.rsplit("#", 1)[1]) % 3 == 0:
+                    raise ValueError("no reply")
+                return prompt.upper(), len(prompt), 1
+
+            return call
+
+        return make
+
+    store = durable_path(spark, "replies")
+    prompts = table(spark, sf, "customer", "c_custkey", "c_name").select(F.col("c_custkey").cast("string").alias("daycare_id"), F.col("c_name").alias("prompt"))
+    model_calls.run_model(prompts, stand_in(True), fixed.RESEARCH_STEP, store, tries=1, in_flight=4)
+    replies = model_calls.run_model(prompts, stand_in(False), fixed.RESEARCH_STEP, store, tries=1, in_flight=4)
+    stored = model_calls.stored_replies(spark, store, fixed.RESEARCH_STEP).groupBy("daycare_id").agg(F.count("*").alias("stored"))
+    return replies.where(F.col("error").isNull()).join(stored, "daycare_id").select("daycare_id", "reply", "input_tokens", "stored")
