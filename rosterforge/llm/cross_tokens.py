@@ -5,10 +5,10 @@ with byte fallback (side B).  Both sides spell the same bytes, a space and the
 text.  Byte offsets where a token of each side ends cut the text into groups.
 
 Method: divide and conquer at shared cuts.  An interval of tokens looks for a
-common end near its middle: ends of A tokens, from the middle outwards, are
-looked up among the ends of B by bisection; the first one found splits the
-interval and both halves go on; an interval without an inner common end is a
-leaf, one group.  All intervals of all documents of a slice are halved together,
+common end near its middle: ends of A tokens, from the middle outwards, that
+bisection has found among the ends of B; the first such one splits the interval
+and both halves go on; an interval without an inner common end is a leaf, one
+group.  All intervals of all documents of a slice are halved together,
 round by round, so a round is a handful of array operations.
 
 Links are the pairs of an A and a B token whose bytes overlap.  How many
@@ -30,6 +30,7 @@ from __future__ import annotations
 import hashlib
 import json
 import math
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -85,55 +86,52 @@ class TwoTokenizers:
                 self.b_bytes.append(bytes([int(piece[3:5], 16)]))
             else:
                 self.b_bytes.append(piece.replace("▁", " ").encode())
-        self.a_size = np.array([len(b) for b in self.a_bytes], np.int64)
-        self.b_size = np.array([len(b) for b in self.b_bytes], np.int64)
+        self.a_table, self.b_table = _table(self.a_bytes), _table(self.b_bytes)
+        self.a_size, self.b_size = np.diff(self.a_table[1]), np.diff(self.b_table[1])
         # digits and what follows them: A within a group, A at its end, B within, B at its end
         width = max(len(self.a_bytes), len(self.b_bytes))
         self.width = width
-        self.spelled = [b"%d%s" % (i, mark) for mark in (b",", b"|", b",", b";") for i in range(width)]
+        spelled = [b"%d%s" % (i, mark) for mark in (b",", b"|", b",", b";") for i in range(width)]
+        self.spelled = np.array(spelled, f"S{-(-max(map(len, spelled)) // 8) * 8}")
+        self.spelled_size = np.char.str_len(self.spelled)
 
-    def encode_a(self, text: str) -> list[int]:
+    def encode_a(self, text: str) -> np.ndarray:
         if self.fast is not None:
             try:
-                return self.fast.encode_ordinary(text)
+                return self.fast.encode_to_numpy(text, disallowed_special=())
             except (KeyboardInterrupt, SystemExit, MemoryError):
                 raise
             except BaseException:  # its pattern engine gives up on some very long runs; the library then answers
                 pass
-        return self.library.encode(text, add_special_tokens=False).ids
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
 
     def encode(self, texts: list[str]) -> Encoded:
         """Ids of both sides for each text; none where either side does not spell a space and the text."""
-        a_ids: list[list[int]] = []
-        b_ids: list[list[int]] = []
-        for text, b in zip(texts, self.pieces.encode(texts, num_threads=1) if texts else [], strict=True):
-            a = self.encode_a(" " + text) if text else []
-            spelled = b" " + text.encode()
-            good = (
-                text != ""
-                and b"".join(map(self.a_bytes.__getitem__, a)) == spelled
-                and b"".join(map(self.b_bytes.__getitem__, b)) == spelled
-            )
-            a_ids.append(a if good else [])
-            b_ids.append(b if good else [])
-        return Encoded(self, a_ids, b_ids)
+        nothing = np.zeros(0, np.uint32)
+        a, a_at = _flat([self.encode_a(" " + text) if text else nothing for text in texts])
+        b, b_at = _flat([np.frombuffer(array("I", x), np.uint32) for x in self.pieces.encode(texts, num_threads=1)] if texts else [])
+        wanted = [b" " + text.encode() if text else None for text in texts]
+        good = spells(self.a_table, a, a_at, wanted) & spells(self.b_table, b, b_at, wanted)
+        return Encoded(self, *_only(good, a, a_at), *_only(good, b, b_at))
 
 
 class Encoded:
     """Tokens of a slice of texts as flat arrays, cut into groups."""
 
-    def __init__(self, two: TwoTokenizers, a_ids: list[list[int]], b_ids: list[list[int]]) -> None:
+    def __init__(self, two: TwoTokenizers, a: np.ndarray, a_at: np.ndarray, b: np.ndarray, b_at: np.ndarray) -> None:
         self.two = two
-        self.a, self.a_at = _flat(a_ids)
-        self.b, self.b_at = _flat(b_ids)
+        self.a, self.a_at, self.b, self.b_at = a, a_at, b, b_at
         # byte ends count on over the documents of the slice, so that they rise throughout
         self.a_end = np.cumsum(two.a_size[self.a])
         self.b_end = np.cumsum(two.b_size[self.b])
+        #: for each A token the B token that holds its last byte, and whether both end there
+        self.holder, self.common = meet(self.a_end, self.b_end)
         full = np.flatnonzero(np.diff(self.a_at))
-        cut_a, cut_b = divide(self.a_end, self.b_end, self.a_at[full], self.a_at[full + 1], self.b_at[full], self.b_at[full + 1])
-        order = np.argsort(cut_a)
+        last = np.zeros(len(self.a), bool)
+        last[divide(self.holder, self.common, self.a_at[full], self.a_at[full + 1]) - 1] = True
+        ends = np.flatnonzero(last)
         #: token counts up to the end of every group, on both sides, and the groups of each document
-        self.cut_a, self.cut_b = cut_a[order], cut_b[order]
+        self.cut_a, self.cut_b = ends + 1, self.holder[ends] + 1
         self.group_at = np.searchsorted(self.cut_a, self.a_at, side="right")
         self.group_at[0] = 0
 
@@ -144,12 +142,17 @@ class Encoded:
         """Document and id pair (A id x number of B ids + B id) of every link.
 
         Between two neighbouring ends of either side lies exactly one A and one
-        B token, and every overlapping pair shares exactly one such stretch.
+        B token, and every overlapping pair shares exactly one such stretch: it
+        ends with an A token, inside or at the end of that token's holder, or
+        with a B token alone, inside the A token that follows all A ends before.
         """
-        ends = np.union1d(self.a_end, self.b_end)
-        i, j = np.searchsorted(self.a_end, ends), np.searchsorted(self.b_end, ends)
-        doc = np.searchsorted(self.a_at, i, side="right") - 1
-        return doc, self.a[i] * len(self.two.b_bytes) + self.b[j]
+        alone = np.ones(len(self.b), bool)
+        alone[self.holder[self.common]] = False
+        alone = np.flatnonzero(alone)
+        follows = np.cumsum(np.bincount(self.holder + self.common, minlength=len(self.b) + 1))[alone]
+        doc_a = np.repeat(np.arange(len(self)), np.diff(self.a_at))
+        first = np.concatenate([self.a, self.a[follows]])
+        return np.concatenate([doc_a, doc_a[follows]]), first * len(self.two.b_bytes) + np.concatenate([self.b[self.holder], self.b[alone]])
 
     def written_groups(self) -> list[bytes]:
         """Per document `a1,a2|b1;a3|b2,b3`: ids of A and B, group by group."""
@@ -165,56 +168,74 @@ class Encoded:
         codes = np.empty(len(code_a) + len(code_b), np.int64)
         codes[np.arange(len(code_a)) + np.concatenate([[0], self.cut_b])[group_a]] = code_a
         codes[np.arange(len(code_b)) + self.cut_a[group_b]] = code_b
-        at = (self.a_at + self.b_at).tolist()
-        spelled = self.two.spelled.__getitem__
-        return [b"".join(map(spelled, codes[x:y].tolist()))[:-1] for x, y in zip(at[:-1], at[1:], strict=True)]
+        # spellings end with zero bytes, which are left out
+        letters = self.two.spelled[codes].view(np.uint8)
+        letters = letters[letters != 0]
+        at = np.concatenate([[0], np.cumsum(self.two.spelled_size[codes])])[self.a_at + self.b_at].tolist()
+        return [letters[x : max(y - 1, x)].tobytes() for x, y in zip(at[:-1], at[1:], strict=True)]
 
 
-def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+def _flat(lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     at = np.concatenate([[0], np.cumsum([len(x) for x in lists], dtype=np.int64)]).astype(np.int64)
-    flat = np.empty(int(at[-1]), np.int64)
-    for i, x in enumerate(lists):
-        flat[at[i] : at[i + 1]] = x
-    return flat, at
+    return np.concatenate([np.zeros(0, np.uint32), *lists]).astype(np.int64), at
+
+
+def _only(good: np.ndarray, ids: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The tokens of good texts; all others have none."""
+    if good.all():
+        return ids, at
+    n = np.diff(at)
+    return ids[np.repeat(good, n)], np.concatenate([[0], np.cumsum(n * good)])
+
+
+def _table(token_bytes: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all tokens and where each begins."""
+    return np.frombuffer(b"".join(token_bytes), np.uint8), np.concatenate([[0], np.cumsum([len(b) for b in token_bytes])])
 
 
-def divide(
-    a_end: np.ndarray, b_end: np.ndarray, a_lo: np.ndarray, a_hi: np.ndarray, b_lo: np.ndarray, b_hi: np.ndarray
-) -> tuple[np.ndarray, np.ndarray]:
-    """Token counts, on both sides, up to the end of every group of the given intervals.
+def spells(table: tuple[np.ndarray, np.ndarray], ids: np.ndarray, at: np.ndarray, wanted: list[bytes | None]) -> np.ndarray:
+    """Do the tokens of each text spell the wanted bytes?  Never where these are None."""
+    letters, begin = table
+    sizes = np.diff(begin)[ids]
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    # each byte's place in the table: its token's begin there and its own place in the token
+    spelled = letters[np.repeat(begin[ids] - ends[:-1], sizes) + np.arange(ends[-1])].tobytes()
+    ends = ends[at].tolist()
+    return np.array([w is not None and spelled[x:y] == w for x, y, w in zip(ends[:-1], ends[1:], wanted, strict=True)], bool)
 
-    An interval holds A tokens a_lo..a_hi-1 and B tokens b_lo..b_hi-1 whose last
-    tokens end together.  `tried` tells how many inner ends next to the middle
-    have been looked up in vain.
+
+def meet(a_end: np.ndarray, b_end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every A end looked up among the ends of B by bisection: the first that is not before it, and whether it is the same."""
+    holder = np.searchsorted(b_end, a_end)
+    return holder, b_end[holder] == a_end
+
+
+def divide(holder: np.ndarray, common: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """A token counts up to the end of every group of the given intervals, in no order.
+
+    An interval holds A tokens low..high-1, whose last one ends together with a B
+    token.  `tried` tells how many inner ends next to the middle are no common ends.
     """
-    leaves_a, leaves_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    tried = np.zeros(len(a_lo), np.int64)
-    while len(a_lo):
-        inner = a_hi - a_lo - 1
-        leaf = (inner <= 0) | (b_hi - b_lo == 1) | (tried > 2 * inner)
-        if leaf.any():
-            leaves_a.append(a_hi[leaf])
-            leaves_b.append(b_hi[leaf])
-            a_lo, a_hi, b_lo, b_hi, tried = (x[~leaf] for x in (a_lo, a_hi, b_lo, b_hi, tried))
-            continue
+    leaves = [np.zeros(0, np.int64)]
+    tried = np.zeros(len(low), np.int64)
+    while len(low):
+        inner = high - low - 1
+        # all A ends within one B token: none but the last can end with it
+        leaf = (inner <= 0) | (holder[low] == holder[high - 1]) | (tried > 2 * inner)
+        leaves.append(high[leaf])
+        go = np.flatnonzero(~leaf)
+        low, high, tried = low[go], high[go], tried[go]
         # middle, one after, one before, two after, ...
-        at = (a_lo + a_hi - 2) // 2 + np.where(tried % 2 == 1, (tried + 1) // 2, -(tried // 2))
-        inside = (at >= a_lo) & (at <= a_hi - 2)
-        end = a_end[np.clip(at, a_lo, a_hi - 2)]
-        other = np.searchsorted(b_end, end)
-        found = inside & (b_end[other] == end)
-        tried = tried + 1
-        if found.any():
-            low, high = at[found] + 1, other[found] + 1
-            left = ~found
-            a_lo, a_hi, b_lo, b_hi, tried = (
-                np.concatenate([a_lo[left], a_lo[found], low]),
-                np.concatenate([a_hi[left], low, a_hi[found]]),
-                np.concatenate([b_lo[left], b_lo[found], high]),
-                np.concatenate([b_hi[left], high, b_hi[found]]),
-                np.concatenate([tried[left], np.zeros(2 * len(low), np.int64)]),
-            )
-    return np.concatenate(leaves_a), np.concatenate(leaves_b)
+        at = (low + high - 2) // 2 + np.where(tried % 2 == 1, (tried + 1) // 2, -(tried // 2))
+        found = (at >= low) & (at <= high - 2)
+        found &= common[np.minimum(np.maximum(at, low), high - 2)]
+        cut, left = at[found] + 1, ~found
+        low, high, tried = (
+            np.concatenate([low[left], low[found], cut]),
+            np.concatenate([high[left], cut, high[found]]),
+            np.concatenate([tried[left] + 1, np.zeros(2 * len(cut), np.int64)]),
+        )
+    return np.concatenate(leaves)
 
 
 def loaded(bpe_json: str, piece_model: str) -> TwoTokenizers:

@@ -6,6 +6,7 @@ import hashlib
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -125,3 +126,17 @@ def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert cross_tokens.link_scores(docs, A, B).collect() == []
     assert cross_tokens.align(docs, A, B).collect() == []
+
+
+def test_arrays_against_plain_loops():
+    """Groups and overlaps of random token ends, and texts that are or are not spelled."""
+    rng = np.random.default_rng(11)
+    for _ in range(60):
+        n = int(rng.integers(1, 200))
+        a_end, b_end = (np.unique(np.append(rng.integers(1, n + 1, rng.integers(1, n + 1)), n)) for _ in range(2))
+        holder, common = cross_tokens.meet(a_end, b_end)
+        cuts = np.sort(cross_tokens.divide(holder, common, np.array([0]), np.array([len(a_end)])))
+        assert a_end[cuts - 1].tolist() == sorted(set(a_end.tolist()) & set(b_end.tolist()))
+    table = cross_tokens._table([b"", b" a", b"\x00", "é".encode()])
+    got = cross_tokens.spells(table, np.array([1, 3, 2, 1]), np.array([0, 2, 2, 3, 4]), [" aé".encode(), None, b"\x00", b" b"])
+    assert got.tolist() == [True, False, True, False]
