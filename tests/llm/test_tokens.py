@@ -334,3 +334,17 @@ def test_columns_with_dots_stay(spark, odd):
     for stage in (chunk_dedup.unique, bag_minhash.one_of_each, source_mix.apply):
         kept = stage(docs)
         assert kept.columns == docs.columns and kept.count() > 0
+
+
+def test_letters_of_ascii_are_not_spelled_anew():
+    class Latin(dict):
+        def __missing__(self, letter):
+            raise AssertionError(chr(letter))
+
+    words = WordTokens(PATH)
+    words.spelled = Latin(words.spelled)
+    texts = ["thndhain*** the&&& of", "grün, 12 é! a'b", "x" * 3000 + "1 " + "ab" * 2000]
+    whole = words.tokenizer.encode_batch(texts, add_special_tokens=False)
+    assert [np.frombuffer(words.encode(t.encode()), np.uint32).tolist() for t in texts[:1]] == [whole[0].ids]
+    words.spelled = dict(words.spelled)
+    assert [np.frombuffer(words.encode(t.encode()), np.uint32).tolist() for t in texts] == [w.ids for w in whole]
