@@ -289,7 +289,8 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """
     bands, size, _ = banding(threshold)
     rows = durable(signed(docs, bands, size), "bag-signatures")
-    same = rows.groupBy("bag1", "bag2").agg(F.min("uid").alias("rid"))
+    # aggregates are written ahead of their joins, so that each join reads both sides from shuffles of their own, which Spark can split at a hot key
+    same = durable(rows.groupBy("bag1", "bag2").agg(F.min("uid").alias("rid")), "bag-distinct")
     members = durable(
         rows.select("uid", "doc_id", "text_hash", "bag1", "bag2").join(same, ["bag1", "bag2"])
         .select("uid", "doc_id", "text_hash", "rid"), "bag-members",
@@ -297,7 +298,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     # one row per distinct multiset, and per band of it
     reps = rows.join(same.select("rid"), F.col("uid") == F.col("rid"), "left_semi")
     spots = durable(reps.select(F.col("uid").alias("rid"), "n", F.posexplode("bands").alias("band", "key")), "bag-bands")
-    shared = spots.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    shared = durable(spots.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "bag-shared")
     buckets = durable(spots.join(shared, "key"), "bag-buckets")
     weight = buckets.groupBy("rid").agg(F.sum("size").alias("weight"))
     buckets = durable(buckets.drop("size").join(weight, "rid"), "bag-buckets")
@@ -307,7 +308,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     features = durable(_features(docs, names), "bag-multisets")
 
     # weight first, then the smaller id: one number per document, so that the maximum needs no sort
-    leaders = buckets.groupBy("key").agg(F.max(_packed("weight", "rid")).alias("top")).select("key", _unpacked("leader"))
+    leaders = durable(buckets.groupBy("key").agg(F.max(_packed("weight", "rid")).alias("top")).select("key", _unpacked("leader")), "bag-leaders")
     sizes = names.select(F.col("rid").alias("leader"), F.col("n").alias("leader_n"))
     pairs = (
         buckets.select("key", "rid", "n").join(leaders, "key").where("rid <> leader").join(sizes, "leader")
@@ -321,12 +322,17 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     if not rest.isEmpty():
         roots = connected(stars.union(rest))
     named = members.join(roots.selectExpr("node AS rid", "root"), "rid", "left").withColumn("root", F.coalesce("root", "rid"))
+    return _with_class(durable(named, "bag-named"))
+
+
+def _with_class(named: DataFrame) -> DataFrame:
+    """Every document with its class, by the class's root; one class may hold a third of the rows."""
     groups = named.groupBy("root").agg(
         F.min("doc_id").alias("class_id"),
         F.count("*").alias("class_size"),
         F.min_by("uid", F.coalesce("doc_id", F.lit((1 << 63) - 1))).alias("keep_uid"),
     )
-    return named.join(groups, "root").select(
+    return named.join(durable(groups, "bag-classes"), "root").select(
         "doc_id", "class_id", "class_size", (F.col("uid") == F.col("keep_uid")).alias("kept"), "text_hash"
     )
 
@@ -349,18 +355,7 @@ def _rest(buckets: DataFrame, roots: DataFrame, texts: DataFrame, threshold: flo
     inside, so a bucket of any size is spread.
     """
     named = buckets.select("key", "band", "rid").join(roots.selectExpr("node AS rid", "root"), "rid", "left")
-    named = named.withColumn("root", F.coalesce("root", "rid"))
-    parts = named.groupBy("key", "root").agg(F.count("*").alias("part"))
-    open_ = parts.groupBy("key").agg(
-        F.max(_packed("part", "root")).alias("top"), F.sum("part").alias("all"), F.max("part").alias("most")
-    ).where("all > most").select(
-        "key", _unpacked("main"), F.expr(f"CAST(ceil((all - most) / {BLOCK}) AS INT)").alias("outer_blocks"),
-        F.expr(f"CAST(ceil(most / {BLOCK}) AS INT)").alias("inner_blocks"),
-    )
-    placed = named.join(open_, "key").selectExpr(
-        "key", "band", "rid", "root", "outer_blocks", "inner_blocks",
-        "IF(root = main, outer_blocks + CAST(pmod(xxhash64(rid), inner_blocks) AS INT), CAST(pmod(xxhash64(rid), outer_blocks) AS INT)) AS block",
-    )
+    placed = _placed(durable(named.withColumn("root", F.coalesce("root", "rid")), "bag-parts"))
     others = F.expr("sequence(0, IF(block < outer_blocks, outer_blocks + inner_blocks, outer_blocks) - 1)")
     dealt = placed.select("key", "band", "rid", "root", "block", F.explode(others).alias("other"))
     rows = dealt.join(texts.select("rid", "n", "sketch", "bag"), "rid").selectExpr(
@@ -386,6 +381,21 @@ def _rest(buckets: DataFrame, roots: DataFrame, texts: DataFrame, threshold: flo
     return ordered.mapInArrow(met, "a long, b long").distinct()
 
 
+def _placed(named: DataFrame) -> DataFrame:
+    """Members of the buckets that hold several components, with their blocks; one bucket may hold a third of the rows."""
+    parts = named.groupBy("key", "root").agg(F.count("*").alias("part"))
+    open_ = parts.groupBy("key").agg(
+        F.max(_packed("part", "root")).alias("top"), F.sum("part").alias("all"), F.max("part").alias("most")
+    ).where("all > most").select(
+        "key", _unpacked("main"), F.expr(f"CAST(ceil((all - most) / {BLOCK}) AS INT)").alias("outer_blocks"),
+        F.expr(f"CAST(ceil(most / {BLOCK}) AS INT)").alias("inner_blocks"),
+    )
+    return named.join(durable(open_, "bag-open"), "key").selectExpr(
+        "key", "band", "rid", "root", "outer_blocks", "inner_blocks",
+        "IF(root = main, outer_blocks + CAST(pmod(xxhash64(rid), inner_blocks) AS INT), CAST(pmod(xxhash64(rid), outer_blocks) AS INT)) AS block",
+    )
+
+
 def _joined(table: pa.Table, threshold: float) -> pa.RecordBatch:
     """Links that join the components of each block task in `table` (its rows next to each other)."""
     task, key, band, rid, root, block, across, n = (

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from rosterforge.llm import bag_minhash, chunk_dedup
 from rosterforge.llm.arrow_text import mix
+from rosterforge.session import durable
 from tests.llm.conftest import ODD_ROWS
 
 
@@ -175,3 +176,30 @@ def test_signatures_estimate_weighted_jaccard():
     assert abs((found[0] == found[1]).mean() - exact) < 0.02
     left, right = elements[: len(one)], elements[len(one) :]
     assert abs(bag_minhash.jaccard([left], [right])[0] - exact) < 1e-12
+
+
+@pytest.mark.parametrize(("join", "hot"), [(bag_minhash._with_class, "root"), (bag_minhash._placed, "key")])
+def test_a_hot_key_is_split_by_spark(spark, join, hot):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2KB",
+    }
+    rows = spark.range(0, 20_000, 1, 8).select(
+        F.col("id").alias("uid"), F.col("id").alias("doc_id"), F.col("id").alias("text_hash"), F.col("id").alias("rid"), F.lit(0).alias("band")
+    )
+    # two thirds of the rows have one key; every key holds two components where the key is not the component
+    key = F.expr("IF(uid % 3 < 2, 0, uid DIV 30)")
+    rows = rows.withColumns({hot: key} if hot == "root" else {"key": key, "root": F.expr("uid % 2")})
+    old = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        done = join(durable(rows, "hot-rows"))
+        assert len(done.collect()) == 20_000
+        assert "skew=true" in done._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
