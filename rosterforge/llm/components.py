@@ -13,9 +13,10 @@ def connected(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
 
     Alternates large-star and small-star rounds, which end in one star per
     component after about log2(nodes) squared rounds at worst.  A round is a
-    pre-aggregated minimum per node and a join with it whose one side is unique,
-    so a node with a third of all links is split by Spark; every round is
-    written to the shared folder, which cuts the lineage.
+    pre-aggregated minimum per node and a join with it whose one side is unique;
+    the minima are written ahead of the join, so that both of its sides have
+    shuffles of their own, and a node with a third of all links is split by
+    Spark.  Every round is written to the shared folder, which cuts the lineage.
     """
     links = durable(edges.where("a <> b").selectExpr("greatest(a, b) AS a", "least(a, b) AS b").distinct(), "links")
     for _ in range(most_rounds):
@@ -24,13 +25,20 @@ def connected(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         ends = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
         if ends.where("up > 1 OR (up = 1 AND down = 1)").isEmpty():
             break
-        both = links.union(links.selectExpr("b AS a", "a AS b"))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).selectExpr("a", "least(a, m) AS m")
-        large = both.join(least, "a").where("b > a").selectExpr("b AS a", "m AS b").where("a <> b")
-        # small star: every node's smaller neighbours, and itself, to the smallest of them
-        smallest = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(smallest, "a").selectExpr("b AS a", "m AS b").where("a <> b").union(smallest.selectExpr("a", "m AS b"))
-        links = durable(small.distinct(), "links")
+        links = durable(_small_star(durable(_large_star(links), "links-large")).distinct(), "links")
     else:
         raise RuntimeError("components did not settle")
     return links.selectExpr("a AS node", "b AS root").union(links.selectExpr("b AS node", "b AS root").distinct())
+
+
+def _large_star(links: DataFrame) -> DataFrame:
+    """Every node's larger neighbours to the smallest of its neighbours and itself."""
+    both = links.union(links.selectExpr("b AS a", "a AS b"))
+    least = both.groupBy("a").agg(F.min("b").alias("m")).selectExpr("a", "least(a, m) AS m")
+    return both.join(durable(least, "links-least"), "a").where("b > a").selectExpr("b AS a", "m AS b").where("a <> b")
+
+
+def _small_star(links: DataFrame) -> DataFrame:
+    """Every node's smaller neighbours, and itself, to the smallest of them."""
+    least = durable(links.groupBy("a").agg(F.min("b").alias("m")), "links-least")
+    return links.join(least, "a").selectExpr("b AS a", "m AS b").where("a <> b").union(least.selectExpr("a", "m AS b"))

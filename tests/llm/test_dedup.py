@@ -9,7 +9,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from rosterforge.llm import bag_minhash, chunk_dedup
+from rosterforge.llm import bag_minhash, chunk_dedup, components
 from rosterforge.llm.arrow_text import mix
 from rosterforge.session import durable
 from tests.llm.conftest import ODD_ROWS
@@ -203,3 +203,33 @@ def test_a_hot_key_is_split_by_spark(spark, join, hot):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize(("star", "hub"), [(components._large_star, -1), (components._small_star, 100_000)])
+def test_a_node_with_many_links_is_split_by_spark(spark, star, hub):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2KB",
+    }
+    # one node links to two thirds of the others, the rest are pairs
+    links = spark.range(0, 20_000, 1, 8).selectExpr(f"IF(id % 3 < 2, CAST({hub} AS BIGINT), 200000 + id) AS a", "id AS b")
+    links = links.selectExpr("greatest(a, b) AS a", "least(a, b) AS b")
+    old = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        done = star(durable(links, "hot-links"))
+        found = {tuple(r) for r in done.collect()}
+        assert "skew=true" in done._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    pairs = {(200_000 + i, i) for i in range(20_000) if i % 3 == 2}
+    members = {i for i in range(20_000) if i % 3 < 2} | {hub}
+    root = min(members)
+    assert found == pairs | {(i, root) for i in members - {root}}
+    roots = {r.node: r.root for r in components.connected(links).collect()}
+    assert roots == dict(pairs) | {b: b for _, b in pairs} | dict.fromkeys(members, root)
