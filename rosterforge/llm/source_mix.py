@@ -36,6 +36,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rosterforge.llm.arrow_text import mix, word_bounds
 from rosterforge.llm.rows import quoted
@@ -43,7 +44,6 @@ from rosterforge.session import durable, ship_package
 
 MOST_PASSES = 3
 WORD = r"[^\x20\x09-\x0D]+"
-SPAN_BINS = 20_000  # documents of a bin, in which running totals are kept
 
 
 @dataclass(frozen=True)
@@ -101,23 +101,45 @@ def sized(docs: DataFrame, uid: Column | None = None) -> DataFrame:
     )
 
 
+def _dealt(narrow: DataFrame) -> DataFrame:
+    """Rows in ranges of their source's stream: `_task` is the range, `_in` the words of the source before the row in it."""
+
+    def running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, words = None, 0  # the source of the row before, and its words so far
+        for batch in batches:
+            if not len(batch):
+                continue
+            owner, size = (np.asarray(batch.column(c)) for c in ("source_no", "size"))
+            before = np.cumsum(size) - size
+            first = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+            base = before[first]
+            if owner[0] == last:
+                base[0] -= words
+            inside = before - np.repeat(base, np.diff(np.append(first, len(owner))))
+            last, words = owner[-1], int(inside[-1] + size[-1])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(inside)], [*batch.schema.names, "_in"])
+
+    order = ["source_no", F.xxhash64("doc_id", "text_hash"), "doc_id", "text_hash", "uid"]
+    ranged = narrow.repartitionByRange(*order).sortWithinPartitions(*order)
+    summed = ranged.mapInArrow(running, T.StructType([*narrow.schema.fields, T.StructField("_in", T.LongType())]))
+    return durable(summed.withColumn("_task", F.spark_partition_id()), "mix-ranges")
+
+
 def streams(narrow: DataFrame) -> DataFrame:
     """Adds `at`: the words of the document's source before it.
 
-    Documents are dealt to bins by hash; totals of bins are summed first, then
-    the documents inside each bin, so no task holds a whole source.
+    Documents are dealt to ranges of (source, hash), of about as many rows each
+    however large a source is and however often a row repeats; the words in
+    front of a row are summed inside its range, those of earlier ranges are added.
     """
-    bins = max(1, -(-narrow.count() // SPAN_BINS))
-    binned = narrow.withColumn("_bin", F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(bins)))
-    sums = binned.groupBy("source_no", "_bin").agg(F.sum("size").alias("_sum"))
-    earlier = Window.partitionBy("source_no").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
-    bases = sums.select("source_no", "_bin", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_base"))
-    inside = Window.partitionBy("source_no", "_bin").orderBy("doc_id", "text_hash", "uid").rowsBetween(Window.unboundedPreceding, -1)
+    dealt = _dealt(narrow)
+    sums = dealt.groupBy("source_no", "_task").agg(F.sum("size").alias("_sum"))
+    earlier = Window.partitionBy("source_no").orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    bases = sums.select("source_no", "_task", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_base"))
     return (
-        binned.withColumn("_in", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-        .join(bases, ["source_no", "_bin"])
+        dealt.join(durable(bases, "mix-bases"), ["source_no", "_task"])
         .withColumn("at", F.col("_base") + F.col("_in"))
-        .drop("_bin", "_in", "_base")
+        .drop("_task", "_in", "_base")
     )
 
 

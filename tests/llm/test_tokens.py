@@ -213,6 +213,26 @@ def test_mix_with_small_sources(spark, docs_of):
     check_mix(source_mix.taken(docs, block=5).collect(), {r[0]: r[3] for r in rows}, 5)
 
 
+def test_streams_are_dealt_evenly(spark):
+    # two thirds of the rows are in one source, half of those are one repeated row without an id
+    rows = [(i, None if i % 3 == 0 else i, 7 if i % 3 == 0 else i, 0 if i % 3 < 2 else i % 5, i % 4) for i in range(24_000)]
+    narrow = spark.createDataFrame(rows, "uid long, doc_id long, text_hash long, source_no long, size long")
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(setting)
+    try:
+        spark.conf.set(setting, "false")
+        counts = [r["count"] for r in source_mix._dealt(narrow).groupBy("_task").count().collect()]
+        placed = source_mix.streams(narrow).collect()
+    finally:
+        spark.conf.set(setting, old)
+    assert len(counts) > 2 and max(counts) < 2 * sum(counts) / len(counts)
+    assert sorted(r["uid"] for r in placed) == list(range(24_000))
+    reach = Counter()
+    for r in sorted(placed, key=lambda r: (r["source_no"], r["at"], r["at"] + r["size"])):
+        assert r["at"] == reach[r["source_no"]]
+        reach[r["source_no"]] += r["size"]
+
+
 def test_mix_rows(spark, docs_of, odd, empty):
     rows = [(i, " ".join(f"d{i}w{j}" for j in range(40 + i)), "en", "abc"[i % 3] if i else None) for i in range(60)]
     docs = docs_of(rows)
