@@ -33,7 +33,7 @@ def margin_scorer(matrix: np.ndarray, positive: int):
     sum runs in the order of its terms, so a score depends on its vector alone,
     and images without any mass beside the positive prompts score exactly 1 and
     tie: a matrix product rounds by place in the batch, normalised weights rarely
-    add up to 1.
+    add up to 1.  A null vector has a null score.
     """
     columns = np.ascontiguousarray(matrix.T)
 
@@ -45,15 +45,16 @@ def margin_scorer(matrix: np.ndarray, positive: int):
 
     @F.pandas_udf(T.DoubleType())
     def score(vectors: pd.Series) -> pd.Series:
-        if len(vectors) == 0:
-            return pd.Series([], dtype="float64")
-        batch = np.stack(vectors.to_numpy()).astype(np.float64)
+        known = vectors.dropna()
+        if len(known) == 0:
+            return pd.Series(np.nan, index=vectors.index, dtype="float64")
+        batch = np.stack(known.to_numpy()).astype(np.float64)
         lengths = np.sqrt(in_order(value * value for value in batch.T))
         cosines = in_order(value[:, None] * column for value, column in zip(batch.T, columns, strict=True)) / lengths[:, None]
         logits = LOGIT_SCALE * cosines
         weights = np.exp(logits - logits.max(axis=1, keepdims=True)).T
         mass, rest = in_order(weights[:positive]), in_order(weights[positive:])
-        return pd.Series((mass - rest) / (mass + rest))
+        return pd.Series((mass - rest) / (mass + rest), index=known.index).reindex(vectors.index)
 
     return score
 
@@ -78,14 +79,14 @@ def rank_images(
 ) -> DataFrame:
     """Best ``n`` images per group among files above the size floor.
 
-    A path counts once per group.  Images without a vector could not be read
-    and are left out, as long as their group has a scored one.
+    A path counts once per group.  Images without a vector are ranked too: they
+    have a null score and follow the scored ones by path.
     """
     groups = [keys] if isinstance(keys, str) else list(keys)
     valid = images.where(F.col("size_bytes") > fixed.RANK_MIN_BYTES)
     unique = keep_first(valid, [*groups, "path"], [F.col("path"), F.col("vector").isNull(), F.col("size_bytes").desc(), F.col("vector")])
-    scored = score_images(unique.where(F.col("vector").isNotNull()), prompts, positive, total)
-    return first_n_per(scored, groups, [F.col("score").desc(), F.col("path")], n)
+    scored = score_images(unique, prompts, positive, total)
+    return first_n_per(scored, groups, [F.col("score").desc_nulls_last(), F.col("path")], n)
 
 
 def first_images(images: DataFrame, keys: str | list[str], n: int = fixed.IMAGE_TOP_N) -> DataFrame:

@@ -67,7 +67,11 @@ def refine_stage(
     manifest: DataFrame, files: DataFrame, media: DataFrame, prompts: DataFrame | None, documents: DataFrame | None
 ) -> DataFrame:
     """One refined row per site.  ``media`` brings `local_path, size_bytes`
-    and, for images, `vector`; ``documents`` the extracted text of PDFs."""
+    and, for images, `vector`; ``documents`` the extracted text of PDFs.
+
+    Images without a vector could not be read and are left out, as long as
+    their site has one with a vector; else the first valid paths stand in.
+    """
     pictures = media.where(F.col("type") == "image").withColumn("path", F.col("local_path"))
     ranked = (
         images.first_images(pictures, "domain")
@@ -75,9 +79,14 @@ def refine_stage(
         else images.rank_images(pictures, prompts, "domain")
     )
     score = F.lit(0.0) if prompts is None else -F.col("score")
+    read = F.lit(True) if prompts is None else F.col("vector").isNotNull()
     best = ranked.groupBy("domain").agg(
-        F.array_sort(F.collect_list(F.struct(score.alias("s"), F.col("path").alias("p")))).alias("v")
-    ).select("domain", F.transform("v", lambda x: x["p"]).alias("verified_images"))
+        F.array_sort(F.collect_list(F.struct(score.alias("s"), F.col("path").alias("p"), read.alias("read")))).alias("v")
+    )
+    shown = F.filter("v", lambda x: x["read"])
+    best = best.select(
+        "domain", F.transform(F.when(F.size(shown) > 0, shown).otherwise(F.col("v")), lambda x: x["p"]).alias("verified_images")
+    )
     top = refine.rank_documents(media.where(F.col("type") == "pdf"), "domain")
     papers = top.groupBy("domain").agg(
         F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "ord", F.col("local_path").alias("p"))))
